@@ -86,3 +86,25 @@ def tree_aggregate(
             .applyInPandas(merge, schema)
         )
     return level.groupBy().applyInPandas(merge, schema)
+
+
+def salted_totals(
+    df: DataFrame, keys: list[str], unit: list[str], sums: dict[str, str], salts: int = 32
+) -> DataFrame:
+    """Per-key row count, sums and distinct units in two levels.
+
+    The first level groups by (key, salt), so a key with a third of all rows
+    is shared by ``salts`` tasks; the salt hashes the unit, so distinct units
+    of different salts never overlap and their counts simply add up.
+    """
+    salt = F.pmod(F.xxhash64(*unit), F.lit(salts)).alias("_salt")
+    first = df.groupBy(*keys, salt).agg(
+        F.count("*").alias("_n"),
+        F.count_distinct(*unit).alias("_d"),
+        *[F.sum(c).alias(f"_s_{name}") for name, c in sums.items()],
+    )
+    return first.groupBy(*keys).agg(
+        F.sum("_n").alias("rows"),
+        F.sum("_d").alias("units"),
+        *[F.sum(f"_s_{name}").alias(name) for name in sums],
+    )

@@ -75,23 +75,13 @@ def histogram_edges(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
 
 def histogram_even(df: DataFrame, value: str, buckets: int) -> DataFrame:
     """Even buckets from min to max; arithmetic bucket number, no edge search per row."""
-    bounds = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / buckets
-    number = F.least(
-        F.floor((F.col(value) - F.col("lo")) / width).cast("int"), F.lit(buckets - 1)
-    )
-    counted = (
-        df.crossJoin(F.broadcast(bounds))  # one row of bounds
-        .groupBy(number.alias("bucket"))
-        .agg(F.count("*").alias("n"))
-    )
+    low, high = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
+    width = (high - low) / buckets
+    number = F.least(F.floor((F.col(value) - low) / width).cast("int"), F.lit(buckets - 1))
+    counted = df.groupBy(number.alias("bucket")).agg(F.count("*").alias("n"))
     frame = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    return (
-        frame.crossJoin(F.broadcast(bounds))
-        .join(counted, "bucket", "left")
-        .select(
-            "bucket",
-            (F.col("lo") + F.col("bucket") * width).alias("low"),
-            F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-        )
+    return frame.join(counted, "bucket", "left").select(
+        "bucket",
+        (low + F.col("bucket") * width).alias("low"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
     )

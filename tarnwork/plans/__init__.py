@@ -1 +1,3 @@
 """Registered queries, one module per family."""
+
+from tarnwork.plans import aggregates, joins, projections, sorting  # noqa: F401

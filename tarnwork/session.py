@@ -15,6 +15,7 @@ def build_session(app: str = "tarnwork", master: str | None = None, cores: int =
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
