@@ -57,8 +57,9 @@ def tree_aggregate(
     comb: Callable,
     schema: str,
     fan_in: int = 64,
+    depth: int = 2,
 ) -> DataFrame:
-    """Fold all rows: one partial per partition, then rounds of at most ``fan_in`` partials.
+    """Fold all rows: one partial per partition, ``depth`` - 1 fan-in rounds, then one merge.
 
     ``schema`` is "<name> type" of the accumulator.
     """
@@ -77,14 +78,10 @@ def tree_aggregate(
             acc = comb(acc, v)
         return pd.DataFrame({name: [acc]})
 
-    parts = df.rdd.getNumPartitions()
     level = df.select(value).mapInPandas(partials, schema)
-    while parts > fan_in:
-        parts = (parts + fan_in - 1) // fan_in
-        level = (
-            level.groupBy(F.pmod(F.spark_partition_id(), F.lit(parts)).alias("_slot"))
-            .applyInPandas(merge, schema)
-        )
+    for step in range(depth - 1, 0, -1):
+        slot = F.pmod(F.spark_partition_id(), F.lit(fan_in**step)).alias("_slot")
+        level = level.groupBy(slot).applyInPandas(merge, schema)
     return level.groupBy().applyInPandas(merge, schema)
 
 

@@ -126,7 +126,7 @@ def _(t):
 @query("agg19_tree_reduce", "SELECT bit_xor(l_orderkey)::BIGINT AS folded FROM lineitem")
 def _(t):
     xor = lambda a, b: int(a) ^ int(b)
-    return tree_aggregate(t.lineitem.repartition(9, "l_orderkey"), "l_orderkey", lambda: 0, xor, xor, "folded long", fan_in=3)
+    return tree_aggregate(t.lineitem.repartition(9, "l_orderkey"), "l_orderkey", lambda: 0, xor, xor, "folded long", fan_in=2, depth=3)
 
 
 @query("agg20_tree_aggregate", "SELECT min(l_partkey) AS low, max(l_partkey) AS high, count(*) AS n FROM lineitem")
