@@ -1,3 +1,3 @@
 """Registered queries, one module per family."""
 
-from tarnwork.plans import aggregates, functions, joins, projections, sorting, sources  # noqa: F401
+from tarnwork.plans import aggregates, functions, joins, projections, sorting, sources, streams  # noqa: F401
