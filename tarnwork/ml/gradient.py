@@ -20,7 +20,7 @@ def _slope(loss: str, weights: list[float]) -> Column:
     """d loss / d margin for one row."""
     m, y = _margin(weights), F.col("label")
     if loss == "least_squares":
-        return m - y
+        return 2.0 * (m - y)
     if loss == "logistic":
         return 1.0 / (1.0 + F.exp(-m)) - y
     if loss == "hinge":
@@ -29,12 +29,21 @@ def _slope(loss: str, weights: list[float]) -> Column:
     raise ValueError(f"loss must be one of {LOSSES}")
 
 
-def gradient(df: DataFrame, weights: list[float], loss: str) -> tuple[list[float], int]:
-    """Sum of gradients and the row count, by one partial-then-final aggregate of plain sums."""
-    slope = df.select("features", _slope(loss, weights).alias("s"))
+def _loss(loss: str, weights: list[float]) -> Column:
+    m, y = _margin(weights), F.col("label")
+    if loss == "least_squares":
+        return (m - y) * (m - y)
+    if loss == "logistic":
+        return F.log1p(F.exp(-m)) + F.when(y > 0, 0.0).otherwise(m)
+    return F.greatest(F.lit(0.0), 1.0 - (2.0 * y - 1.0) * m)
+
+
+def gradient(df: DataFrame, weights: list[float], loss: str) -> tuple[list[float], int, float]:
+    """Sum of gradients, row count and sum of losses, by one partial-then-final aggregate of plain sums."""
+    rows = df.select("features", _slope(loss, weights).alias("s"), _loss(loss, weights).alias("l"))
     sums = [F.sum(F.col("s") * F.col("features")[i]).alias(f"g{i}") for i in range(len(weights))]
-    row = slope.agg(F.count("*").alias("n"), *sums).head()
-    return [row[f"g{i}"] or 0.0 for i in range(len(weights))], row["n"]
+    row = rows.agg(F.count("*").alias("n"), F.sum("l").alias("loss"), *sums).head()
+    return [row[f"g{i}"] or 0.0 for i in range(len(weights))], row["n"], row["loss"] or 0.0
 
 
 def _shrink(w: float, penalty: str, reg: float, rate: float) -> float:
@@ -49,6 +58,14 @@ def _soft(w: float, penalty: str, reg: float, rate: float) -> float:
     return w
 
 
+def _penalty_value(weights: list[float], penalty: str, reg: float) -> float:
+    if penalty == "l1":
+        return reg * sum(abs(w) for w in weights)
+    if penalty == "l2":
+        return reg / 2 * sum(w * w for w in weights)
+    return 0.0
+
+
 def descend(
     df: DataFrame,
     weights: list[float],
@@ -59,21 +76,27 @@ def descend(
     iterations: int = 100,
     fraction: float = 1.0,
     seed: int = 42,
+    history: list[float] | None = None,
 ) -> list[float]:
     """Weights after ``iterations`` steps of size step / sqrt(t) on a sample of the rows.
 
     ``df`` has label double and features array<double>; only the weight
-    vector returns to the driver.
+    vector returns to the driver.  Gradients are scaled by the expected
+    sample size; the objective before each step is appended to ``history``.
     """
     if penalty not in PENALTIES:
         raise ValueError(f"penalty must be one of {PENALTIES}")
+    expected = df.count() * fraction
+    if expected == 0:
+        return list(weights)
     for t in range(1, iterations + 1):
         batch = df if fraction >= 1.0 else df.sample(False, fraction, seed + t)
-        total, n = gradient(batch, weights, loss)
-        if n == 0:
-            continue
+        total, _n, loss_sum = gradient(batch, weights, loss)
+        if history is not None:
+            history.append(loss_sum / expected + _penalty_value(weights, penalty, reg))
         rate = step / math.sqrt(t)
         weights = [
-            _soft(_shrink(w, penalty, reg, rate) - rate * g / n, penalty, reg, rate) for w, g in zip(weights, total)
+            _soft(_shrink(w, penalty, reg, rate) - rate * g / expected, penalty, reg, rate)
+            for w, g in zip(weights, total)
         ]
     return weights

@@ -27,8 +27,9 @@ class StreamingLinearRegression:
             # The batch before is read back by number, so a replayed batch starts from the same weights.
             if number > 0:
                 self.weights = list(self._read(number - 1))
-            if not batch.isEmpty():
-                self.weights = descend(batch, self.weights, "least_squares", "none", 0.0, self.step, self.iterations)
+            rows = batch.select("label", "features").persist()
+            self.weights = descend(rows, self.weights, "least_squares", "none", 0.0, self.step, self.iterations)
+            rows.unpersist()
             row = self._spark.createDataFrame([(self.weights,)], "weights array<double>")
             row.write.mode("overwrite").parquet(f"{self._history}/batch={number}")
 

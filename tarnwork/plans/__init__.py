@@ -1,3 +1,3 @@
 """Registered queries, one module per family."""
 
-from tarnwork.plans import aggregates, functions, graphs, joins, projections, sorting, sources, streams  # noqa: F401
+from tarnwork.plans import aggregates, functions, graphs, joins, learning, projections, sorting, sources, streams, workloads  # noqa: F401

@@ -317,13 +317,12 @@ def _(t):
 
 @query(
     "gra32_strongly_connected_components",
-    f"""{_WITH}, RECURSIVE_PAIRS AS (SELECT DISTINCT src, dst FROM E WHERE src <> dst),
-        core AS (SELECT src AS id FROM RECURSIVE_PAIRS INTERSECT SELECT dst FROM RECURSIVE_PAIRS),
-        inner_pairs AS MATERIALIZED (SELECT src, dst FROM RECURSIVE_PAIRS WHERE src IN (SELECT id FROM core) AND dst IN (SELECT id FROM core)),
-        reach AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM inner_pairs UNION ALL SELECT a.src, b.dst FROM inner_pairs a JOIN inner_pairs b ON a.dst = b.src
-                  UNION ALL SELECT a.src, c.dst FROM (SELECT DISTINCT x.src, y.dst FROM inner_pairs x JOIN inner_pairs y ON x.dst = y.src) a JOIN inner_pairs c ON a.dst = c.src)),
+    f"""WITH RECURSIVE D AS MATERIALIZED (SELECT DISTINCT src, dst FROM ({_PAIRS}) WHERE src <> dst),
+        core AS MATERIALIZED (SELECT src AS id FROM D INTERSECT SELECT dst FROM D),
+        C AS MATERIALIZED (SELECT src, dst FROM D WHERE src IN (SELECT id FROM core) AND dst IN (SELECT id FROM core)),
+        reach AS (SELECT src, dst FROM C UNION SELECT r.src, C.dst FROM reach r JOIN C ON r.dst = C.src),
         same AS (SELECT a.src AS id, least(min(a.dst), a.src) AS component FROM reach a JOIN reach b ON a.src = b.dst AND a.dst = b.src GROUP BY a.src)
-        SELECT V.id AS id, coalesce(component, V.id) AS component FROM V LEFT JOIN same ON same.id = V.id""",
+        SELECT c_custkey AS id, coalesce(component, c_custkey) AS component FROM customer LEFT JOIN same ON same.id = c_custkey""",
 )
 def _(t):
     return alg.strongly_connected_components(_trade(t))
