@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnwork.catalog import query, register
 from tarnwork.functions import legacy
@@ -360,7 +361,7 @@ def _(t):
 fn("hf108_reflect", "part", ("reflect('java.lang.Math', 'max', p_size, 20)", "greatest(p_size, 20)::VARCHAR"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _call_title(values: pd.Series) -> pd.Series:
     return values.str.title()
 
