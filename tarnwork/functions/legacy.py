@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.session import spread
+
 # std, stddev and variance are population statistics on this surface.
 std = stddev = F.stddev_pop
 variance = F.var_pop
@@ -67,7 +69,7 @@ def line_sentences(text: str) -> Column:
 
 def _gram_rows(df: DataFrame, sentences: Column, n: int) -> DataFrame:
     """One row per run of n consecutive words; runs never cross a sentence."""
-    words = df.select(F.explode(sentences).alias("_w")).where(F.size("_w") >= n)
+    words = spread(df).select(F.explode(sentences).alias("_w")).where(F.size("_w") >= n)
     starts = F.sequence(F.lit(1), F.size("_w") - n + 1)
     return words.select(F.explode(F.transform(starts, lambda i: F.slice("_w", i, n))).alias("_g"))
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.session import spread
+
 c = F.col
 
 
 def term_counts(df: DataFrame, doc: str, terms: Column) -> DataFrame:
     """One row per document and term: no vector as wide as the vocabulary, no hash collisions."""
-    return df.select(doc, F.explode(terms).alias("term")).where("term <> ''").groupBy(doc, "term").agg(F.count("*").alias("tf"))
+    return spread(df).select(doc, F.explode(terms).alias("term")).where("term <> ''").groupBy(doc, "term").agg(F.count("*").alias("tf"))
 
 
 def hashed(counts: DataFrame, doc: str, buckets: int = 1 << 20) -> DataFrame:

@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _none_for_missing(column: pd.Series) -> list:
+    """Python values with None for nulls, so that all null keys are one key."""
+    return [None if missing else v for v, missing in zip(column, column.isna())]
+
+
 def combine_by_key(
     df: DataFrame,
     key: str,
@@ -23,30 +28,45 @@ def combine_by_key(
 
     ``schema`` is "<key> type, <combiner> type".  Each input partition sends
     one combiner per key (more only when its table of keys is flushed), so a
-    hot key shuffles about one row per partition.
+    hot key shuffles about one row per partition.  After the shuffle partials
+    arrive sorted by key and are merged as a stream, one key in memory at a
+    time and without a function call per group.
     """
     key_name, comb_name = (part.split()[0] for part in schema.split(",", 1))
 
+    def frame(keys: list, combs: list) -> pd.DataFrame:
+        return pd.DataFrame({key_name: pd.Series(keys, dtype=object), comb_name: pd.Series(combs, dtype=object)})
+
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table: dict = {}
         for pdf in batches:
-            for k, v in zip(pdf[key], pdf[value]):
+            for k, v in zip(_none_for_missing(pdf[key]), pdf[value]):
                 table[k] = merge_value(table[k], v) if k in table else create(v)
             if len(table) >= flush_keys:
-                yield pd.DataFrame({key_name: list(table), comb_name: list(table.values())})
+                yield frame(list(table), list(table.values()))
                 table = {}
         if table:
-            yield pd.DataFrame({key_name: list(table), comb_name: list(table.values())})
+            yield frame(list(table), list(table.values()))
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        combs = iter(pdf[comb_name])
-        total = next(combs)
-        for c in combs:
-            total = merge_combiners(total, c)
-        return pd.DataFrame({key_name: [pdf[key_name].iloc[0]], comb_name: [total]})
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        started, current, total = False, None, None
+        for pdf in batches:
+            keys, combs = [], []
+            for k, comb in zip(_none_for_missing(pdf[key_name]), pdf[comb_name]):
+                if started and k == current:
+                    total = merge_combiners(total, comb)
+                    continue
+                if started:
+                    keys.append(current)
+                    combs.append(total)
+                started, current, total = True, k, comb
+            if keys:
+                yield frame(keys, combs)
+        if started:
+            yield frame([current], [total])
 
     partial = df.select(key, value).mapInPandas(partials, schema)
-    return partial.groupBy(key_name).applyInPandas(merge, schema)
+    return partial.repartition(key_name).sortWithinPartitions(key_name).mapInPandas(merge, schema)
 
 
 def tree_aggregate(

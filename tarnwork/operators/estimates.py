@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,15 +60,12 @@ def histogram_edges(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
         [(i, float(edges[i]), float(edges[i + 1])) for i in range(len(edges) - 1)],
         "bucket int, low double, high double",
     )
-    # Binary search over a literal array keeps the row expression small for many edges.
-    arr = F.array(*[F.lit(float(e)) for e in edges])
-    n_at_or_below = F.size(F.filter(arr, lambda e: e <= F.col(value)))
-    bucket = F.when(F.col(value) == edges[-1], len(edges) - 2).otherwise(n_at_or_below - 1)
-    counted = (
-        df.where((F.col(value) >= edges[0]) & (F.col(value) <= edges[-1]))
-        .groupBy(bucket.alias("bucket"))
-        .agg(F.count("*").alias("n"))
-    )
+    inside = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").between(edges[0], edges[-1]))
+    if len(edges) > 2:
+        inside = Bucketizer(splits=[float(e) for e in edges], inputCol="_v", outputCol="_b").transform(inside)
+    else:
+        inside = inside.withColumn("_b", F.lit(0))
+    counted = inside.groupBy(F.col("_b").cast("int").alias("bucket")).agg(F.count("*").alias("n"))
     return frame.join(counted, "bucket", "left").select(
         "bucket", "low", "high", F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )

@@ -162,7 +162,7 @@ _GRAMS = """WITH s AS (SELECT unnest(string_split(text, chr(10))) AS line FROM d
 
 @query("hf027_context_ngrams", _GRAMS % (2, 2) + "SELECT g[2] AS filler, count(*) AS freq FROM g WHERE g[1] = 'the' AND g[3] = 'of' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
 def _(t):
-    return legacy.context_ngrams(t.documents, legacy.line_sentences("text"), ["the", None, "of"], 15)
+    return legacy.context_ngrams(t.documents.select("text"), legacy.line_sentences("text"), ["the", None, "of"], 15)
 
 
 fn("hf028_conv", "part", ("conv(p_partkey, 10, 16)", "upper(to_base(p_partkey, 16))"), ("conv(p_size, 10, 2)", "to_base(p_size, 2)"))
@@ -310,7 +310,7 @@ fn("hf092_negative", "customer", ("negative(c_acctbal)", "-c_acctbal"))
 
 @query("hf093_ngrams", _GRAMS % (1, 1) + "SELECT array_to_string(g, ' ') AS gram, count(*) AS freq FROM g GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def _(t):
-    return legacy.ngrams(t.documents, legacy.line_sentences("text"), 2, 20)
+    return legacy.ngrams(t.documents.select("text"), legacy.line_sentences("text"), 2, 20)
 
 
 fn("hf094_not", "part", *same("NOT (p_size < 9)"))

@@ -106,13 +106,13 @@ _TF = f"W AS (SELECT doc_id, unnest({_WORDS}) AS term FROM documents), TF AS MAT
 
 @query("ml07_idf", f"WITH {_TF} SELECT term, df, round(idf, 9) AS idf FROM IDF")
 def _(t):
-    counts = text_features.term_counts(t.documents, "doc_id", _terms())
+    counts = text_features.term_counts(t.documents.select("doc_id", "text"), "doc_id", _terms())
     return text_features.inverse_document_frequency(counts, t.documents, "doc_id").withColumn("idf", F.round("idf", 9))
 
 
 @query("ml08_tf_idf", f"WITH {_TF} SELECT doc_id, TF.term AS term, round(tf * idf, 8) AS tf_idf FROM TF JOIN IDF ON TF.term = IDF.term")
 def _(t):
-    counts = text_features.term_counts(t.documents, "doc_id", _terms())
+    counts = text_features.term_counts(t.documents.select("doc_id", "text"), "doc_id", _terms())
     idf = text_features.inverse_document_frequency(counts, t.documents, "doc_id")
     return text_features.tf_idf(counts, idf).select("doc_id", "term", F.round("tf_idf", 8).alias("tf_idf"))
 

@@ -176,7 +176,7 @@ def _(t):
 
 
 def _flat(lists):
-    """Lists back to (start, user_id, n, total) so that pieces of a key add up."""
+    """Lists back to counts and sums, so that the pieces of a key add up."""
     return lists.groupBy("start", "user_id").agg(
         F.sum(F.size("values")).alias("n"), F.sum(F.aggregate("values", F.lit(0).cast("long"), lambda a, x: a + x)).alias("ids")
     )
@@ -184,7 +184,7 @@ def _flat(lists):
 
 @query("str20_group_by_key", f"SELECT {_tumble(DAY)} AS start, user_id, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1, 2")
 def _(t):
-    return _flat(grouped_lists(_timed(t), "1 day", None, "user_id", "event_id", "event_id"))
+    return _flat(grouped_lists(_timed(t), "1 day", None, ["user_id"], "event_id", 50))
 
 
 @query("str21_reduce_by_key", f"SELECT {_tumble(DAY)} AS start, user_id, max(value) AS top FROM events GROUP BY 1, 2")
@@ -199,7 +199,7 @@ def _(t):
 
 @query("str23_group_by_key_and_window", f"SELECT start, user_id, count(*) AS n, sum(event_id)::BIGINT AS ids FROM {_slides(2 * DAY, DAY)} GROUP BY 1, 2")
 def _(t):
-    return _flat(grouped_lists(_timed(t), "2 days", "1 day", "user_id", "event_id", "event_id"))
+    return _flat(grouped_lists(_timed(t), "2 days", "1 day", ["user_id"], "event_id", 50))
 
 
 @query("str24_reduce_by_key_and_window", f"SELECT start, event_type, min(value) AS low FROM {_slides(8 * HOUR, 4 * HOUR)} GROUP BY 1, 2")
@@ -246,13 +246,14 @@ def _(t):
         FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2""",
 )
 def _(t):
+    # Lists of both streams per window and key, side by side as a tag column.
     views = _timed(t).where("event_type = 'view'").withColumn("side", F.lit("v"))
     clicks = _timed(t).where("event_type = 'click'").withColumn("side", F.lit("c"))
-    both = views.union(clicks).withColumn("piece", F.pmod(F.xxhash64("event_id"), F.lit(16)))
-    of = lambda side: F.sort_array(F.collect_list(F.when(c("side") == side, c("event_id"))))
-    lists = windowed_table(both, "1 day", None, ["user_id", "piece"], {"v": of("v"), "c": of("c")})
+    lists = grouped_lists(views.union(clicks), "1 day", None, ["user_id", "side"], "event_id", 50)
+    ids = F.aggregate("values", F.lit(0).cast("long"), lambda a, x: a + x)
     return lists.groupBy("start", "user_id").agg(
-        F.sum(F.size("v")).alias("views"), F.sum(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)).alias("click_ids")
+        F.sum(F.when(c("side") == "v", F.size("values")).otherwise(0)).alias("views"),
+        F.sum(F.when(c("side") == "c", ids).otherwise(0)).alias("click_ids"),
     )
 
 

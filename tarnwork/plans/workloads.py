@@ -13,7 +13,7 @@ from tarnwork.graph.model import Graph, endpoints
 from tarnwork.ml import draws, metrics
 from tarnwork.operators.ordering import index_rows
 from tarnwork.operators.sampling import folds
-from tarnwork.session import fresh_dir, materialize
+from tarnwork.session import fresh_dir, materialize, spread
 from tarnwork.sources import text
 from tarnwork.streaming.inputs import event_time, parquet_stream
 from tarnwork.streaming.sinks import run
@@ -24,7 +24,7 @@ c = F.col
 
 @query("wrk01_word_count", "SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents) WHERE word <> '' GROUP BY 1")
 def _(t):
-    words = t.documents.select(F.explode(F.split("text", r"\s+")).alias("word")).where("word <> ''")
+    words = spread(t.documents.select("text")).select(F.explode(F.split("text", r"\s+")).alias("word")).where("word <> ''")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 

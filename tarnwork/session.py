@@ -81,3 +81,15 @@ def materialize(df: DataFrame, label: str = "stage", partition_by: list[str] | N
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work before a costly per-row step when the scan has few splits.
+
+    A small table is often one row group, hence one busy task.  A large scan
+    has more splits than cores and is left alone, so nothing is shuffled.
+    """
+    context = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() < 2 * context.defaultParallelism:
+        return df.repartition(2 * context.defaultParallelism)
+    return df

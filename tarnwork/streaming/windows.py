@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.streaming.sinks import upsert_table
+from tarnwork.operators.ordering import chunked_lists
+from tarnwork.streaming.sinks import batch_table, upsert_table
 
 
 def window_start(name: str = "window") -> Column:
@@ -34,11 +35,14 @@ def with_empty_windows(counts: DataFrame, step: int, value: str) -> DataFrame:
     return every.join(counts, "start", "left").select("start", F.coalesce(value, F.lit(0)).cast("long").alias(value))
 
 
-def grouped_lists(stream: DataFrame, length: str, slide: str | None, key: str, value: str, unit: str, pieces: int = 16) -> DataFrame:
-    """Values per window and key as sorted lists, each key in ``pieces`` hashed pieces.
+def grouped_lists(
+    stream: DataFrame, length: str, slide: str | None, keys: list[str], value: str, size: int = 10_000
+) -> DataFrame:
+    """(start, keys, batch, chunk, values): values per window and key as sorted lists of at most ``size``.
 
-    The pieces bound what one state row and one task hold for a hot key.
+    Each micro-batch adds its own lists, so no list lives in the state store
+    and a hot key is many bounded rows.
     """
-    piece = F.pmod(F.xxhash64(unit), F.lit(pieces)).alias("piece")
-    keyed = stream.withColumn("piece", piece)
-    return windowed_table(keyed, length, slide, [key, "piece"], {"values": F.sort_array(F.collect_list(value))})
+    rows = stream.select(F.window("ts", length, slide or length).alias("window"), *keys, value).select(window_start(), *keys, value)
+    cut = lambda batch: chunked_lists(batch, ["start", *keys], F.col(value), [F.col(value)], "values", size)
+    return batch_table(rows, "window-lists", cut)

@@ -11,9 +11,9 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import duckdb  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 from tarnwork.catalog import TABLE_NAMES, registered  # noqa: E402
-from tarnwork.session import build_session  # noqa: E402
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "float": "FLOAT", "smallint": "SMALLINT",
@@ -34,7 +34,10 @@ def main() -> int:
     con = duckdb.connect()
     for t in TABLE_NAMES:
         con.execute(f"create view {t} as select * from '{directory}/{t}.parquet'")
-    spark = build_session("check")
+    # A session as a caller would bring it: nothing set that the queries need.
+    spark = (SparkSession.builder.master("local[8]").appName("check").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "10g").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
     bad = done = 0
     slow = []
     for name, q in registered().items():
