@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.operators.ordering import running_totals
+from tarnwork.session import materialize
 
 c = F.col
 
@@ -20,8 +21,11 @@ def confusion_by_threshold(df: DataFrame, score: str = "score", label: str = "la
     Counts per distinct score come first; the running sums over scores are
     distributed, with no single-task window.
     """
-    counts = df.groupBy(c(score).alias("threshold")).agg(
-        F.count_if(c(label) > 0.5).alias("pos"), F.count_if(c(label) <= 0.5).alias("neg")
+    counts = materialize(
+        df.groupBy(c(score).alias("threshold")).agg(
+            F.count_if(c(label) > 0.5).alias("pos"), F.count_if(c(label) <= 0.5).alias("neg")
+        ),
+        "score-counts",  # scoring, often a model, then runs once
     )
     cum = running_totals(counts, [], [F.desc("threshold")], {"tp": c("pos"), "fp": c("neg")})
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.operators.ordering import running_totals
+from tarnwork.session import materialize
 
 
 def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float) -> DataFrame:
@@ -14,7 +15,9 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float) -> Da
     Rows are first reduced to (key, value, count), then ranked by running
     counts, so neither a hot key nor a long value list meets in one task.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    counted = materialize(
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")), "value-counts"
+    )
     ranked = running_totals(counted, keys, [F.col(value)], {"_upto": F.col("_c")})
     sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     joined = ranked.join(sizes, keys) if keys else ranked.withColumn("_n", sizes.scalar())

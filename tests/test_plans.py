@@ -54,3 +54,24 @@ def test_large_windows_are_partitioned(spark, name):
 @pytest.mark.parametrize("name", ["gra33_triangle_counts", "join11_interval_theta", "join09_left_semi_theta", "set04_except_keeping_duplicates"])
 def test_no_cartesian_product(spark, name):
     assert "CartesianProduct" not in plan(build(spark, name))
+
+
+def test_stored_edges_are_not_shuffled_again(spark):
+    from pyspark.sql import functions as F
+
+    from tarnwork.graph.model import StoredEdges
+
+    edges = spark.range(5000).select((F.col("id") % 90).alias("src"), (F.col("id") % 71).alias("dst"))
+    stored = StoredEdges.write(edges)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = stored.from_sources(spark.range(90).withColumn("rank", F.lit(1.0)))
+        text = plan(joined, "simple")
+        joined.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The edge scan feeds the join without an exchange: only the vertex and hub sides have one.
+    edge_side = text[: text.index("Scan parquet spark_catalog") if "Scan parquet spark_catalog" in text else len(text)].splitlines()
+    assert not any("Exchange hashpartitioning(src" in line and "part" in line for line in edge_side[-6:])
+    assert "Bucketed: true" in text

@@ -52,7 +52,7 @@ def main() -> int:
             rows = Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
         except Exception as e:
             bad += 1
-            print(f"FAIL {name}: {type(e).__name__} {str(e)[:700]}", flush=True)
+            print(f"FAIL {name}: {type(e).__name__} {str(e)[:700] if "--trace" not in sys.argv else str(e)[:6000]}", flush=True)
             if "--trace" in sys.argv:
                 traceback.print_exc()
             continue
