@@ -12,9 +12,11 @@ c = F.col
 
 
 def _weighted(edges: DataFrame) -> StoredEdges:
-    """Edges with 1 / out-degree of their source."""
-    degree = edges.groupBy("src").agg(F.count("*").alias("_d"))
-    return StoredEdges.write(edges.select("src", "dst").join(degree, "src").select("src", "dst", (1.0 / c("_d")).alias("w")))
+    """Edges with 1 / out-degree of their source; one degree table serves the weights and the hub search."""
+    pairs = materialize(edges.select("src", "dst"), "rank-edges")
+    degree = materialize(pairs.groupBy("src").agg(F.count("*").alias("n")), "degrees")
+    weighted = pairs.join(degree, "src").select("src", "dst", (1.0 / c("n")).alias("w"))
+    return StoredEdges.write(weighted, degree)
 
 
 def pagerank(graph: Graph, rounds: int, reset: float = 0.15) -> DataFrame:
@@ -58,8 +60,7 @@ def connected_components(graph: Graph) -> DataFrame:
         graph.edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u <> v").distinct(),
         "components",
     )
-    mark = _fingerprint(links)
-    while True:
+    while not _is_star_forest(links):
         # Large star: every neighbour above u is linked to the least vertex around u.
         both = links.select(c("u"), c("v")).union(links.select(c("v").alias("u"), c("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), c("u")).alias("m"))
@@ -70,16 +71,16 @@ def connected_components(graph: Graph) -> DataFrame:
         joined = large.join(lowest, "u")
         small = joined.select(c("v").alias("u"), c("m").alias("v")).union(lowest.select("u", c("m").alias("v")))
         links = materialize(small.where("u <> v").distinct(), "small-star")
-        now = _fingerprint(links)
-        if now == mark:
-            break
-        mark = now
     labels = links.groupBy(c("u").alias("id")).agg(F.min("v").alias("component"))
     return graph.vertices.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
-def _fingerprint(df: DataFrame) -> tuple:
-    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).head())
+def _is_star_forest(links: DataFrame) -> bool:
+    """Every u has one link and no v has any: all components are stars around their least id."""
+    chained = links.select(c("v").alias("u")).join(links.select("u"), "u", "left_semi")
+    if not chained.isEmpty():
+        return False
+    return links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
 
 def _spread_min(ids: DataFrame, edges: DataFrame, value: str) -> DataFrame:

@@ -195,11 +195,13 @@ class StoredEdges:
     hubs: DataFrame
 
     @staticmethod
-    def write(edges: DataFrame, hub_limit: int = 1_000_000) -> "StoredEdges":
+    def write(edges: DataFrame, degree: DataFrame | None = None, hub_limit: int = 1_000_000) -> "StoredEdges":
+        """``degree`` is (src, n) where the caller has it already."""
         spark = edges.sparkSession
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        degree = edges.groupBy("src").agg(F.count("*").alias("_n"))
-        hubs = degree.where(F.col("_n") > hub_limit).select("src", F.ceil(F.col("_n") / hub_limit).cast("int").alias("parts"))
+        if degree is None:
+            degree = edges.groupBy("src").agg(F.count("*").alias("n"))
+        hubs = degree.where(F.col("n") > hub_limit).select("src", F.ceil(F.col("n") / hub_limit).cast("int").alias("parts"))
         # Hubs are few (at most edges / hub_limit rows); Catalyst broadcasts them while they stay small.
         placed = edges.join(hubs, "src", "left").withColumn(
             "part", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int")
