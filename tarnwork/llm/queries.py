@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import simhash
+from tarnwork.llm import attribution, packing, simhash
 
-QUERIES = {f.__name__: f for f in (simhash.op4_simhash_ball_dedup,)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        simhash.op4_simhash_ball_dedup,
+        packing.op6_cost_balanced_packing,
+        attribution.op7_offset_attribution,
+    )
+}
 ORACLES: dict[str, str] = {}

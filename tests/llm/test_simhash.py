@@ -84,8 +84,8 @@ def test_links_connect_what_is_near(spark, block):
 def test_nulls_ties_repeats_and_clashing_columns(spark):
     rows = [(3, None, "x"), (1, "", "y"), (None, "a b c d e", "z"), (7, "A b\tc D e", "z"), (7, "A b\tc D e", "z"),
             (9, "word " * 5000, None), (11, "one", None), (None, "lonely text of nobody", None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, fp string").withColumns(
-        {"component_id": F.lit(5), "TEXT": F.lit("other"), "key": F.lit(1)})
+    df = spark.createDataFrame([(*r, 5, "other", 1) for r in rows], "doc_id long, text string, fp string, component_id int, t string, key int")
+    df = df.toDF("doc_id", "text", "fp", "component_id", "TEXT", "key")
     got = simhash.near_duplicates(df).collect()
     want = closure([(d, plain_fingerprint(t)) for d, t, _ in rows])
     assert sorted((tuple(r) for r in got), key=str) == want
