@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import attribution, packing, simhash
+from tarnwork.llm import attribution, language, packing, simhash
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         simhash.op4_simhash_ball_dedup,
         packing.op6_cost_balanced_packing,
         attribution.op7_offset_attribution,
+        language.op8_language_mixture,
     )
 }
 ORACLES: dict[str, str] = {}
