@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import attribution, language, packing, simhash
+from tarnwork.llm import attribution, language, lempel_ziv, packing, simhash
 
 QUERIES = {
     f.__name__: f
     for f in (
+        lempel_ziv.op3_lempel_ziv_fingerprint,
         simhash.op4_simhash_ball_dedup,
         packing.op6_cost_balanced_packing,
         attribution.op7_offset_attribution,
