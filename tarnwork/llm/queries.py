@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import attribution, language, lempel_ziv, packing, simhash
+from tarnwork.llm import attribution, language, lempel_ziv, line_templates, mixing, packing, simhash
 
 QUERIES = {
     f.__name__: f
     for f in (
+        line_templates.op1_line_template_dedup,
+        mixing.op2_golden_ratio_mix,
         lempel_ziv.op3_lempel_ziv_fingerprint,
         simhash.op4_simhash_ball_dedup,
         packing.op6_cost_balanced_packing,
@@ -14,4 +16,4 @@ QUERIES = {
         language.op8_language_mixture,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_line_template_dedup": line_templates.OP1_SQL}
