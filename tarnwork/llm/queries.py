@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import attribution, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash
+from tarnwork.llm import attribution, chat, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash
 
 QUERIES = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES = {
         packing.op6_cost_balanced_packing,
         attribution.op7_offset_attribution,
         language.op8_language_mixture,
+        chat.op9_offset_aligned_chat,
         neural_lm.op10_recurrent_lm,
     )
 }
