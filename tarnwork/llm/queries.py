@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import attribution, chat, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash
+from tarnwork.llm import attribution, chat, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash, vector_forest
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         mixing.op2_golden_ratio_mix,
         lempel_ziv.op3_lempel_ziv_fingerprint,
         simhash.op4_simhash_ball_dedup,
+        vector_forest.op5_projection_forest,
         packing.op6_cost_balanced_packing,
         attribution.op7_offset_attribution,
         language.op8_language_mixture,
