@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 
 from tarnwork.session import apply_semantics, materialize
 
-__all__ = ["batched", "materialize", "pick", "table"]
+__all__ = ["DOCUMENT", "arrow_fields", "batched", "materialize", "pick", "table"]
+
+#: The columns of documents.
+DOCUMENT = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+_ARROW = {"long": pa.int64(), "string": pa.string()}
+
+
+def arrow_fields(types: dict[str, str]) -> list[pa.Field]:
+    return [pa.field(name, _ARROW[kind]) for name, kind in types.items()]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

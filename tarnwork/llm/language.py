@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import batched, pick, table
+from tarnwork.llm.common import DOCUMENT, arrow_fields, batched, pick, table
 
 c = F.col
 
@@ -19,8 +19,8 @@ SYMBOLS = 64  # 0 is anything but a letter, 1 to 26 are a to z, other letters sh
 GRAMS = SYMBOLS**3
 UNDECIDED = "und"
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int32()), ("n", pa.int64())])
-_OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
-                  ("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))])
+_PREDICTED = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()),
+              pa.field("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))]
 
 
 @lru_cache(maxsize=1)
@@ -136,8 +136,9 @@ def infer(model: Model, texts: list[np.ndarray], penalty: float, rounds: int) ->
     return chosen, overall
 
 
-def predict(docs: DataFrame, model: Model, penalty: float = 3.0, rounds: int = 12, piece: int = 1 << 19) -> DataFrame:
-    """(doc_id, lang_pred, score, languages) of every row of ``docs`` (doc_id, text).
+def predict(docs: DataFrame, model: Model, penalty: float = 3.0, rounds: int = 12, piece: int = 1 << 19,
+            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(``keep``, lang_pred, score, languages) of every row of ``docs`` (``keep``, text).
 
     lang_pred has the largest share in the selected set, ``languages``; score
     is its share when all languages may take part.  A null text, one without
@@ -146,38 +147,41 @@ def predict(docs: DataFrame, model: Model, penalty: float = 3.0, rounds: int = 1
     rows.  Documents are worked on together up to ``piece`` trigrams.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = {name: DOCUMENT[name] for name in keep}
+    schema = pa.schema([*arrow_fields(kept), *_PREDICTED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
 
-        def named(held: list[tuple[int | None, np.ndarray]]) -> Iterator[tuple]:
+        def named(held: list[tuple[tuple, np.ndarray]]) -> Iterator[tuple]:
             chosen, overall = infer(learned, [g for _, g in held], penalty, rounds)
-            for (doc_id, _), share, whole in zip(held, chosen, overall):
+            for (row, _), share, whole in zip(held, chosen, overall):
                 at = int(share.argmax())
                 found = [{"lang": learned.languages[i], "share": float(share[i])} for i in np.argsort(-share, kind="stable") if share[i] > 0]
-                yield doc_id, learned.languages[at], float(min(1.0, whole[at])), found
+                yield *row, learned.languages[at], float(min(1.0, whole[at])), found
 
         def rows() -> Iterator[tuple]:
             held, size = [], 0
-            for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    g = grams(text.as_py() or "")
-                    if not len(g) or not learned.languages:
-                        yield doc_id, UNDECIDED, 0.0, []
-                        continue
-                    held.append((doc_id, g))
-                    size += len(g)
-                    if size >= piece:
-                        yield from named(held)
-                        held, size = [], 0
+            for whole in batches:
+                for at in range(0, whole.num_rows, 512):
+                    batch = whole.slice(at, 512)
+                    for text, *row in zip(*[column.to_pylist() for column in batch.columns]):
+                        g = grams(text or "")
+                        if not len(g) or not learned.languages:
+                            yield *row, UNDECIDED, 0.0, []
+                            continue
+                        held.append((tuple(row), g))
+                        size += len(g)
+                        if size >= piece:
+                            yield from named(held)
+                            held, size = [], 0
             if held:
                 yield from named(held)
 
-        yield from batched(rows(), _OUT)
+        yield from batched(rows(), schema, 512)
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(
-        run, "doc_id long, lang_pred string, score double, languages array<struct<lang: string, share: double>>"
-    )
+    read = pick(docs, **{"text": "string"} | kept).select(c("text").alias("_text"), *keep)
+    return read.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in kept.items()) + ", lang_pred string, score double, languages array<struct<lang: string, share: double>>")
 
 
 def fold(doc_id: Column, folds: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import materialize, pick, table
+from tarnwork.llm.common import DOCUMENT, materialize, pick, table
 
 c = F.col
 
@@ -56,8 +56,9 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least
     return again.groupBy("doc", "row").agg(F.collect_set("line").alias("dropped"))
 
 
-def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, text) of every row of ``docs`` (doc_id, text), without lines of recurring templates.
+def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least_words: int = LEAST_WORDS,
+                         keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, text, ``keep``) of every row of ``docs``, the text without lines of recurring templates.
 
     A line's place in the template tree is its number of words and its first
     ``lead`` words, words with a digit standing for any such word; the words
@@ -73,8 +74,8 @@ def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS,
     rows with one id are one document; null ids are one document after all
     others; no rows give no rows.  Text is shuffled once.
     """
-    rows = pick(docs, doc_id="long", text="string").select(
-        "doc_id", "text", _order(c("doc_id")).alias("doc"), F.xxhash64("text").alias("row")
+    rows = pick(docs, doc_id="long", text="string", **{n: DOCUMENT[n] for n in keep}).withColumns(
+        {"doc": _order(c("doc_id")), "row": F.xxhash64("text")}
     )
     gone = recurring_lines(docs, lead, bands, least_words)
     lines = F.split("text", "\n")
@@ -84,6 +85,7 @@ def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS,
         F.when(c("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(c("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long").alias("n_dropped"),
         F.when(c("dropped").isNull(), c("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        *keep,
     )
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import materialize, pick, table
+from tarnwork.llm.common import DOCUMENT, materialize, pick, table
 from tarnwork.operators.ordering import rank_within, running_totals
 
 c = F.col
@@ -138,6 +138,17 @@ def _schedule(spark: SparkSession, sources: DataFrame, needs: np.ndarray, block:
     )
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` (columns of documents), each as often as the mix takes it, to the nearest whole."""
+    taken, _ = mix(docs, **how)
+    copies = taken.where("size > 0").select("doc_id", "row", F.expr("(2 * taken + size) div (2 * size)").alias("n"))
+    often = materialize(copies.groupBy("doc_id", "row").agg(F.sum("n").alias("n")).where("n > 0").select(
+        c("doc_id").alias("mixed_id"), c("row").alias("mixed_row"), "n"), "mix-copies")
+    once = pick(docs, **DOCUMENT).withColumn("row", F.xxhash64("text"))
+    found = once.join(often, c("doc_id").eqNullSafe(c("mixed_id")) & (c("row") == c("mixed_row"))).dropDuplicates(["doc_id", "row"])
+    return found.withColumn("copy", F.explode(F.expr("sequence(1L, n)"))).select(*DOCUMENT)
+
+
 def op2_golden_ratio_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mix(table(spark, sf_dir, "documents"))
     return documents.select("doc_id", "size", "source_size", "target", "taken", "source")

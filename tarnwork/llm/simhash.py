@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import materialize, pick, table
+from tarnwork.llm.common import DOCUMENT, materialize, pick, table
 from tarnwork.llm.components import components
 
 c = F.col
@@ -42,14 +42,15 @@ def fingerprint(text: bytes, words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp: signed long) of every row; a null text counts as empty."""
+    """(doc_id, row, fp) of every row: ``row`` is the hash of its text, fp a signed long; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py() or b"", words) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py() or b"", words) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["doc_id", "row", "fp"])
 
-    return pick(docs, doc_id="long", text="binary").mapInArrow(run, "doc_id long, fp long")
+    read = pick(docs, doc_id="long", text="string").select("doc_id", F.xxhash64("text").alias("row"), c("text").cast("binary").alias("text"))
+    return read.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def _masks() -> list[tuple[int, int, np.ndarray]]:
@@ -172,6 +173,18 @@ def links(fps: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
     return found.distinct()
 
 
+def _named(docs: DataFrame, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The written rows (doc_id, row, fp), and (fp, root, component_id) of every fingerprint."""
+    rows = materialize(fingerprints(docs, words), "simhash")
+    least = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    linked = components(links(least.select("fp"), radius))
+    joined = materialize(linked.join(least, c("id") == c("fp")).select("fp", "component", "least"), "simhash-linked")
+    of_component = materialize(joined.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-components")
+    chained = joined.join(of_component, "component").select("fp", c("component").alias("root"), "component_id")
+    alone = least.join(chained.select("fp"), "fp", "left_anti").select("fp", c("fp").alias("root"), c("least").alias("component_id"))
+    return rows, materialize(chained.union(alone), "simhash-named")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -180,16 +193,23 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
     and a component takes its least id that is not null.  Other columns are
     not looked at; no rows give no rows.
     """
-    rows = materialize(fingerprints(docs, words), "simhash")
-    least = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    linked = components(links(least.select("fp"), radius))
-    joined = materialize(linked.join(least, c("id") == c("fp")).select("fp", "component", "least"), "simhash-linked")
-    of_component = materialize(joined.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-components")
-    chained = joined.join(of_component, "component").select("fp", "component_id")
-    alone = least.join(chained.select("fp"), "fp", "left_anti").select("fp", c("least").alias("component_id"))
-    named = materialize(chained.union(alone), "simhash-named")
+    rows, named = _named(docs, words, radius)
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs`` (columns of documents) that come first in their component: by id, null last, then by text hash.
+
+    Of repeated rows one stays.
+    """
+    rows, named = _named(docs, words, radius)
+    of_row = rows.join(named, "fp").select("root", F.struct(c("doc_id").isNull().alias("late"), "doc_id", "row").alias("place"))
+    first = materialize(of_row.groupBy("root").agg(F.min("place").alias("place")).select("place.doc_id", "place.row"), "simhash-first")
+    whole = pick(docs, **DOCUMENT).withColumn("row", F.xxhash64("text"))
+    at = first.select(c("doc_id").alias("first_id"), c("row").alias("first_row"))
+    stay = whole.join(at, c("doc_id").eqNullSafe(c("first_id")) & (c("row") == c("first_row")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "row"]).select(*DOCUMENT)
+
+
 def op4_simhash_ball_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
