@@ -1,17 +1,41 @@
-"""User-defined folds with map-side combine, over Arrow batches."""
+"""User-defined folds with map-side combine, over Arrow batches.
+
+Values reach the user's functions as plain Python values: integers stay exact
+at any size, a null is None, and NaN is a number of its own.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+_NAN = float("nan")  # one object, so that it equals itself as a key
+_BATCH = 10_000
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
 
+def _keys(column: pa.Array) -> list:
+    """Python values in which all NaN are one key; nulls are None and so another."""
+    return [_NAN if isinstance(k, float) and k != k else k for k in column.to_pylist()]
 
-def _none_for_missing(column: pd.Series) -> list:
-    """Python values with None for nulls, so that all null keys are one key."""
-    return [None if missing else v for v, missing in zip(column, column.isna())]
+
+def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= _BATCH:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
 def combine_by_key(
@@ -32,41 +56,37 @@ def combine_by_key(
     arrive sorted by key and are merged as a stream, one key in memory at a
     time and without a function call per group.
     """
-    key_name, comb_name = (part.split()[0] for part in schema.split(",", 1))
-
-    def frame(keys: list, combs: list) -> pd.DataFrame:
-        return pd.DataFrame({key_name: pd.Series(keys, dtype=object), comb_name: pd.Series(combs, dtype=object)})
+    arrow = _arrow(schema)
+    key_name = arrow.names[0]
 
-    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict = {}
-        for pdf in batches:
-            for k, v in zip(_none_for_missing(pdf[key]), pdf[value]):
+        for batch in batches:
+            for k, v in zip(_keys(batch.column(0)), batch.column(1).to_pylist()):
                 table[k] = merge_value(table[k], v) if k in table else create(v)
             if len(table) >= flush_keys:
-                yield frame(list(table), list(table.values()))
+                yield from _batches(table.items(), arrow)
                 table = {}
-        if table:
-            yield frame(list(table), list(table.values()))
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        started, current, total = False, None, None
-        for pdf in batches:
-            keys, combs = [], []
-            for k, comb in zip(_none_for_missing(pdf[key_name]), pdf[comb_name]):
-                if started and k == current:
-                    total = merge_combiners(total, comb)
-                    continue
-                if started:
-                    keys.append(current)
-                    combs.append(total)
-                started, current, total = True, k, comb
-            if keys:
-                yield frame(keys, combs)
-        if started:
-            yield frame([current], [total])
-
-    partial = df.select(key, value).mapInPandas(partials, schema)
-    return partial.repartition(key_name).sortWithinPartitions(key_name).mapInPandas(merge, schema)
+        yield from _batches(table.items(), arrow)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def merged() -> Iterator[tuple]:
+            started, current, total = False, None, None
+            for batch in batches:
+                for k, comb in zip(_keys(batch.column(0)), batch.column(1).to_pylist()):
+                    if started and (k is current or k == current):
+                        total = merge_combiners(total, comb)
+                        continue
+                    if started:
+                        yield current, total
+                    started, current, total = True, k, comb
+            if started:
+                yield current, total
+
+        yield from _batches(merged(), arrow)
+
+    partial = df.select(key, value).mapInArrow(partials, schema)
+    return partial.repartition(key_name).sortWithinPartitions(key_name).mapInArrow(merge, schema)
 
 
 def tree_aggregate(
@@ -83,26 +103,23 @@ def tree_aggregate(
 
     ``schema`` is "<name> type" of the accumulator.
     """
-    name = schema.split()[0]
-
-    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = zero()
-        for pdf in batches:
-            for v in pdf[value]:
-                acc = seq(acc, v)
-        yield pd.DataFrame({name: [acc]})
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        acc = zero()
-        for v in pdf[name]:
-            acc = comb(acc, v)
-        return pd.DataFrame({name: [acc]})
-
-    level = df.select(value).mapInPandas(partials, schema)
-    for step in range(depth - 1, 0, -1):
-        slot = F.pmod(F.spark_partition_id(), F.lit(fan_in**step)).alias("_slot")
-        level = level.groupBy(slot).applyInPandas(merge, schema)
-    return level.groupBy().applyInPandas(merge, schema)
+    arrow = _arrow(schema)
+
+    def fold(step: Callable) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            acc = zero()
+            for batch in batches:
+                for v in batch.column(0).to_pylist():
+                    acc = step(acc, v)
+            yield from _batches([(acc,)], arrow)
+
+        return run
+
+    level = df.select(value).mapInArrow(fold(seq), schema)
+    for step in range(depth - 1, -1, -1):
+        # One partial from each task that made one; fan_in ** step slots, then one.
+        level = level.repartition(fan_in**step).mapInArrow(fold(comb), schema)
+    return level
 
 
 def salted_totals(

@@ -11,13 +11,16 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def small_side_join(
-    left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = 100_000
-) -> DataFrame:
-    """Broadcast the right side when it is proven small, else an ordinary shuffled join."""
-    if has_at_most(right, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    return left.join(right, on, how)
+def small_side_join(left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = 1000) -> DataFrame:
+    """Join on a condition without equal keys, or on none, with a right side that is checked to be small.
+
+    Every left row meets every right row, so a larger right side is refused:
+    an equi join, which the optimizer plans by size, or ``band_join`` is what
+    scales.
+    """
+    if not has_at_most(right, max_rows):
+        raise ValueError(f"the right side of this join has more than {max_rows} rows; join on equal keys or bands instead")
+    return left.join(F.broadcast(right), on, how)
 
 
 def full_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,8 +30,8 @@ def full_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     split; a direct full outer join would keep a hot key in one task.
     """
     matched = left.join(right, keys, "left")
-    left_keys = left.select(*keys).distinct()
-    return matched.unionByName(right.join(left_keys, keys, "left_anti"), allowMissingColumns=True)
+    # No distinct: an aggregate on the keys would lend the join its partitioning, which cannot be split.
+    return matched.unionByName(right.join(left.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
 def exists_less_than(left: DataFrame, right: DataFrame, left_value: str, right_value: str) -> DataFrame:

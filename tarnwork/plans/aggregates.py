@@ -227,6 +227,26 @@ def _(t):
     return combine_by_key(t.lineitem, "l_partkey", "l_linenumber", lambda v: 0 + v, add, add, "k long, total long")
 
 
+_LARGE = "CASE WHEN p_size % 7 = 0 THEN NULL ELSE 1152921504606846976 + p_size END"
+
+
+@query("agg28_combine_large_and_null_keys", f"SELECT {_LARGE} AS k, count(*) AS n, max(CASE WHEN p_size % 5 > 0 THEN p_partkey + 1152921504606846976 END) AS top FROM part GROUP BY 1")
+def _(t):
+    keyed = t.part.select(F.expr(_LARGE).alias("k"), F.expr("CASE WHEN p_size % 5 > 0 THEN p_partkey + 1152921504606846976 END").alias("v"))
+    top = lambda a, v: v if a is None else a if v is None else max(a, v)
+    acc = combine_by_key(keyed, "k", "v", lambda v: [1, v], lambda a, v: [a[0] + 1, top(a[1], v)], lambda a, b: [a[0] + b[0], top(a[1], b[1])],
+                         "k long, acc array<long>")
+    return acc.select("k", c("acc")[0].alias("n"), c("acc")[1].alias("top"))
+
+
+@query("agg17_fold_large_and_null_values", "SELECT max(CASE WHEN event_id % 3 > 0 THEN event_id + 1152921504606846976 END) AS top, count(*) FILTER (WHERE event_id % 3 = 0) AS missing FROM events")
+def _(t):
+    values = t.events.select(F.expr("CASE WHEN event_id % 3 > 0 THEN event_id + 1152921504606846976 END").alias("v"))
+    acc = tree_aggregate(values, "v", lambda: [0, 0], lambda a, v: [a[0], a[1] + 1] if v is None else [max(a[0], v), a[1]],
+                         lambda a, b: [max(a[0], b[0]), a[1] + b[1]], "acc array<long>")
+    return acc.select(c("acc")[0].alias("top"), c("acc")[1].alias("missing"))
+
+
 @query("agg31_reduce_by_key", "SELECT l_orderkey AS k, sum(l_quantity) AS v FROM lineitem GROUP BY 1")
 def _(t):
     return t.lineitem.groupBy(c("l_orderkey").alias("k")).agg(F.sum("l_quantity").alias("v"))

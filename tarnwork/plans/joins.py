@@ -60,7 +60,7 @@ def _(t):
 @query("join04_broadcast_hash", "SELECT s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def _(t):
     nation = t.nation.withColumnRenamed("n_nationkey", "s_nationkey")
-    return small_side_join(t.supplier, nation, "s_nationkey").select("s_name", "n_name")
+    return t.supplier.join(nation, "s_nationkey").select("s_name", "n_name")
 
 
 @query(

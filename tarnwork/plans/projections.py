@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import subprocess
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from tarnwork.catalog import Tables, query, register
 from tarnwork.operators.ordering import index_rows
+from tarnwork.operators.pipes import pipe
 
 # A nullable column and a nullable flag derived from part, for three-valued logic.
 _PART_NULLS = "p_partkey, nullif(p_size % 5, 0) AS n, p_size % 3 AS m"
@@ -301,21 +301,23 @@ def _(t):
     return t.customer.groupBy(F.col("c_nationkey").alias("k")).agg(F.max("c_custkey").alias("v"))
 
 
-def pipe(df, column: str, argv: list[str]):
-    """Feed each partition's rows as lines to one process and read its lines back."""
+@query("prj49_pipe", "SELECT upper(p_name) AS line FROM part")
+def _(t):
+    return pipe(t.part, "p_name", ["tr", "a-z", "A-Z"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            text = "".join(f"{line}\n" for line in pdf[column])
-            out = subprocess.run(argv, input=text, capture_output=True, text=True, check=True).stdout
-            yield pd.DataFrame({"line": out.splitlines()})
 
-    return df.select(column).mapInPandas(run, "line string")
+@query("prj49_pipe_whole_partition", "SELECT count(*)::VARCHAR || ' ' || sum(l_linenumber)::BIGINT AS line FROM lineitem")
+def _(t):
+    # The command keeps state over all rows of its partition.
+    rows = t.lineitem.select(F.col("l_linenumber").cast("string").alias("line")).coalesce(1)
+    return pipe(rows, "line", ["awk", "{ n += 1; s += $1 } END { print n, s }"])
 
 
-@query("prj49_pipe", "SELECT upper(p_name) AS line FROM part")
+@query("prj49_pipe_with_context", "SELECT 'begin' AS line UNION ALL SELECT 'AIR ' || r_name FROM region UNION ALL SELECT 'AIR ' || r_name || '!' FROM region")
 def _(t):
-    return pipe(t.part, "p_name", ["tr", "a-z", "A-Z"])
+    said = pipe(t.region.coalesce(1), "r_name", ["sh", "-c", 'read first; echo "$first"; while read x; do echo "$KIND $x"; done'], env={"KIND": "AIR"},
+                print_context=lambda out: out("begin"), print_row=lambda row, out: (out(row), out(f"{row}!")))
+    return said
 
 
 @query("prj50_script_transform", "SELECT CAST(c_custkey AS VARCHAR) AS k, c_mktsegment AS seg FROM customer WHERE c_nationkey < 10")
@@ -413,10 +415,8 @@ def _(t):
 
 @query("prj57_broadcast_lookup", "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def _(t):
-    from tarnwork.operators.joins import small_side_join
-
     names = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return small_side_join(t.customer, names, "c_nationkey", "left").select("c_custkey", "n_name")
+    return t.customer.join(names, "c_nationkey", "left").select("c_custkey", "n_name")
 
 
 @query("prj58_partition_setup", "SELECT p_partkey, p_retailprice * 1.1 AS taxed FROM part")

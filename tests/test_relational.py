@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tarnwork.operators.combine import combine_by_key, salted_totals, tree_aggregate
 from tarnwork.operators.estimates import histogram_edges, histogram_even
 from tarnwork.operators.joins import band_join, exists_less_than, full_outer, keep_unmatched_bag, small_side_join
+from tarnwork.operators.pipes import pipe
 from tarnwork.operators.sampling import exact_sample, exact_stratified, folds
 
 
@@ -32,11 +33,12 @@ def test_full_outer_with_null_keys_and_duplicates(spark):
     assert rows(full_outer(left, right, ["k"]).select("k", "l", "r")) == want
 
 
-def test_small_side_join_both_ways(spark):
-    left = spark.range(50).withColumn("k", F.col("id") % 5)
-    right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    small, shuffled = small_side_join(left, right, "k", max_rows=10), small_side_join(left, right, "k", max_rows=2)
-    assert rows(small) == rows(shuffled)
+def test_small_side_join_refuses_a_large_side(spark):
+    left, right = spark.range(5), spark.range(3).select(F.col("id").alias("k"))
+    assert small_side_join(left, right, None, "cross", max_rows=3).count() == 15
+    assert small_side_join(left, right, F.col("id") < F.col("k"), "left", max_rows=3).count() == 6
+    with pytest.raises(ValueError):
+        small_side_join(left, right, None, "cross", max_rows=2)
 
 
 def test_exists_less_than(spark):
@@ -61,6 +63,36 @@ def test_combine_by_key_flushes_and_handles_null_values(spark):
     assert dict(map(tuple, got.collect())) == {"hot": sum(range(500)), **{f"k{i}": i for i in range(40)}}
 
 
+def test_combine_by_key_keeps_large_integers_null_and_nan_apart(spark):
+    big = 2**60
+    df = spark.createDataFrame([(big + 1, big + 1), (big + 2, None), (None, 5), (big + 1, 1), (None, None)], "k long, v long").coalesce(1)
+    seen = lambda v: [v]
+    got = combine_by_key(df, "k", "v", seen, lambda a, v: [*a, v], lambda a, b: a + b, "k long, vs array<long>")
+    assert {r.k: r.vs for r in got.collect()} == {big + 1: [big + 1, 1], big + 2: [None], None: [5, None]}
+    nan = spark.createDataFrame([(float("nan"), 1), (None, 2), (float("nan"), 3), (0.5, 4)], "k double, v long").repartition(3)
+    rows_ = combine_by_key(nan, "k", "v", lambda v: v, lambda a, v: a + v, lambda a, b: a + b, "k double, n long").collect()
+    assert sorted((str(r.k), r.n) for r in rows_) == [("0.5", 4), ("None", 2), ("nan", 4)]
+
+
+def test_tree_aggregate_passes_nulls_as_none(spark):
+    df = spark.createDataFrame([(2**60 + 1,), (None,), (5,)], "v long").coalesce(1)
+    fold = lambda a, v: a if v is None else a + v
+    assert tree_aggregate(df, "v", lambda: 0, fold, fold, "s long").head()[0] == 2**60 + 6
+    assert tree_aggregate(df.limit(0), "v", lambda: 7, fold, max, "s long").head()[0] == 7
+
+
+def test_pipe_is_one_process_for_a_partition(spark):
+    df = spark.range(25_000).select(F.col("id").cast("string").alias("line")).coalesce(1)
+    assert [int(r.line) for r in pipe(df, "line", ["wc", "-l"]).collect()] == [25_000]
+    assert [r.line for r in pipe(df, "line", ["tail", "-n", "2"]).collect()] == ["24998", "24999"]
+    assert [r.line for r in pipe(df, "line", ["head", "-n", "1"]).collect()] == ["0"]
+    told = pipe(df.limit(2), "line", ["sh", "-c", "cat; echo $WHO"], env={"WHO": "me"}, print_context=lambda out: out("top"),
+                print_row=lambda row, out: (out(f"<{row}"), out(f"{row}>")))
+    assert [r.line for r in told.collect()] == ["top", "<0", "0>", "<1", "1>", "me"]
+    with pytest.raises(Exception, match="status 3"):
+        pipe(df.limit(2), "line", ["sh", "-c", "cat > /dev/null; exit 3"]).collect()
+
+
 @pytest.mark.parametrize("parts,depth", [(1, 1), (9, 2), (9, 3)])
 def test_tree_aggregate(spark, parts, depth):
     df = spark.range(100).repartition(parts)
