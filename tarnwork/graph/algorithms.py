@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,16 @@ def pagerank(graph: Graph, rounds: int, reset: float = 0.15) -> DataFrame:
     return ranks
 
 
-def pagerank_until(graph: Graph, tolerance: float, reset: float = 0.15, max_rounds: int = 1000) -> DataFrame:
-    """(id, rank): only vertices whose rank moved by more than the tolerance send their change on."""
+def pagerank_until(graph: Graph, tolerance: float, reset: float = 0.15, max_rounds: int | None = None) -> DataFrame:
+    """(id, rank): only vertices whose rank moved by more than the tolerance send their change on.
+
+    Runs until none does; with ``max_rounds`` it fails if some still do then.
+    """
     stored = _weighted(graph.edges)
     state = materialize(graph.vertices.select("id", F.lit(reset).alias("rank"), F.lit(reset).alias("delta")), "delta-rank")
-    for _ in range(max_rounds):
+    for number in count():
+        if number == max_rounds:
+            raise RuntimeError(f"ranks still move by more than {tolerance} after {max_rounds} rounds")
         moving = state.where(c("delta") > tolerance).select("id", "delta")
         sums = stored.from_sources(moving).groupBy(c("dst").alias("id")).agg(F.sum(c("delta") * c("w")).alias("s"))
         change = (1 - reset) * F.coalesce("s", F.lit(0.0))
@@ -63,11 +70,12 @@ def connected_components(graph: Graph) -> DataFrame:
     while not _is_star_forest(links):
         # Large star: every neighbour above u is linked to the least vertex around u.
         both = links.select(c("u"), c("v")).union(links.select(c("v").alias("u"), c("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), c("u")).alias("m"))
+        # Minima are written before they are joined, so that both sides are plain shuffles and a hub's links can be split.
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), c("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(c("v").alias("u"), c("m").alias("v")).where("u <> v").distinct()
         large = materialize(large, "large-star")
         # Small star: u and its lower neighbours are linked to the least of them.
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         joined = large.join(lowest, "u")
         small = joined.select(c("v").alias("u"), c("m").alias("v")).union(lowest.select("u", c("m").alias("v")))
         links = materialize(small.where("u <> v").distinct(), "small-star")
@@ -151,7 +159,7 @@ def triangle_counts(graph: Graph) -> DataFrame:
     """
     pairs = graph.edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).where("a <> b").distinct()
     pairs = materialize(pairs, "triangle-pairs")
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
+    degree = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d")), "triangle-degrees")
     ends = pairs.join(degree.select(c("id").alias("a"), c("d").alias("da")), "a").join(degree.select(c("id").alias("b"), c("d").alias("db")), "b")
     up = (c("da") < c("db")) | ((c("da") == c("db")) & (c("a") < c("b")))
     directed = materialize(

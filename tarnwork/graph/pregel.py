@@ -71,17 +71,18 @@ def supersteps(
     ``combine`` reduces it per target before the shuffle, ``aggregate`` folds
     all vertices into one row, and ``compute(aggregates)`` gives the new
     columns including ``active``.  Stops when no vertex is active and no
-    message is under way.
+    message is under way, and fails if that is not so after ``max_rounds``.
     """
     state = materialize(vertices, "superstep")
     history: list[dict] = []
-    for _ in range(max_rounds):
+    while True:
         totals = state.agg(F.count_if("active").alias("_live"), *[v.alias(k) for k, v in aggregate.items()]).head().asDict()
         if totals["_live"] == 0:
-            break
+            return state, history
+        if len(history) == max_rounds:
+            raise RuntimeError(f"vertices are still active after {max_rounds} rounds")
         history.append(totals)
         senders = state.where("active").select(F.col("id").alias("src"), message.alias("msg"))
         inbox = edges.select("src", "dst").join(senders, "src").groupBy(F.col("dst").alias("id")).agg(*[v.alias(k) for k, v in combine.items()])
         joined = state.join(inbox, "id", "left")
         state = materialize(joined.select("id", *[v.alias(k) for k, v in compute(totals).items()]), "superstep")
-    return state, history

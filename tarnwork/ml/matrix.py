@@ -88,26 +88,44 @@ def correlation(df: DataFrame) -> DataFrame:
     return joined.select("i", "j", F.when(c("i") == c("j"), F.lit(1.0)).otherwise(r).alias("v"))
 
 
-def _top_vectors(df: DataFrame, k: int, rounds: int = 60, tolerance: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
-    """Largest eigenvalues and vectors of A^T A."""
+def _top_vectors(df: DataFrame, k: int, rounds: int | None = None, tolerance: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
+    """Largest eigenvalues and vectors of A^T A.
+
+    Up to LOCAL_COLUMNS the product is decomposed whole.  Wider, a Krylov
+    space grows by one distributed product a round, kept orthogonal, until
+    the k largest eigenpairs of the product within it have residuals under
+    ``tolerance`` times the largest eigenvalue; if that is not so after
+    ``rounds`` (300 or 3 k by default), it fails.
+    """
     n = width(df)
     if n <= LOCAL_COLUMNS:
         product, _ = _collect_product(df)
         values, vectors = np.linalg.eigh((product + product.T) / 2)
         order = np.argsort(values)[::-1][:k]
         return np.maximum(values[order], 0.0), vectors[:, order]
-    # Wider: repeated distributed products with an n x k block, re-orthogonalised each round.
-    block = np.linalg.qr(np.random.default_rng(1).normal(size=(n, k)))[0]
-    values = np.zeros(k)
-    for _ in range(rounds):
-        image, _ = _collect_product(df, block)
-        block, r = np.linalg.qr(image)
-        fresh = np.abs(np.diag(r))
-        if np.max(np.abs(fresh - values)) <= tolerance * max(1.0, fresh.max()):
-            break
-        values = fresh
-    order = np.argsort(fresh)[::-1]
-    return fresh[order], block[:, order]
+    limit = rounds or max(300, 3 * k)
+    rng = np.random.default_rng(1)
+    fresh = np.linalg.qr(rng.normal(size=(n, min(n, k + 2))))[0]
+    basis, images = np.empty((n, 0)), np.empty((n, 0))
+    for _ in range(limit):
+        image, _ = _collect_product(df, fresh)
+        basis, images = np.hstack([basis, fresh]), np.hstack([images, image])
+        small = basis.T @ images
+        values, inside = np.linalg.eigh((small + small.T) / 2)
+        order = np.argsort(values)[::-1][:k]
+        values, inside = values[order], inside[:, order]
+        left = images @ inside - (basis @ inside) * values
+        if basis.shape[1] >= n or np.linalg.norm(left, axis=0).max() <= tolerance * max(values[0], 1e-300):
+            return np.maximum(values, 0.0), basis @ inside
+        for _twice in range(2):
+            image = image - basis @ (basis.T @ image)
+        q, r = np.linalg.qr(image)
+        fresh = q[:, np.abs(np.diag(r)) > 1e-12 * max(values[0], 1e-300)][:, : n - basis.shape[1]]
+        if not fresh.shape[1]:
+            return np.maximum(values, 0.0), basis @ inside  # the space holds its own image
+        fresh -= basis @ (basis.T @ fresh)
+        fresh = np.linalg.qr(fresh)[0]
+    raise RuntimeError(f"the {k} largest singular values have not converged after {limit} rounds")
 
 
 def svd(df: DataFrame, k: int, r_cond: float = 1e-9) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -121,6 +139,8 @@ def svd(df: DataFrame, k: int, r_cond: float = 1e-9) -> tuple[DataFrame, np.ndar
 
 def principal_components(df: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(variances, n x k components) of the covariance matrix."""
+    if width(df) > LOCAL_COLUMNS:
+        raise ValueError(f"principal components take up to {LOCAL_COLUMNS} columns, whose covariance the driver decomposes")
     product, sums = _collect_product(df)
     n = df.count()
     cov = (product - np.outer(sums, sums) / n) / (n - 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.session import spread
+from tarnwork.session import materialize, spread
 
 c = F.col
 
@@ -28,5 +28,9 @@ def inverse_document_frequency(counts: DataFrame, documents: DataFrame, doc: str
 
 
 def tf_idf(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """Terms everywhere are hot keys of this join; adaptive execution splits them or broadcasts a small idf table."""
-    return counts.join(idf.select("term", "idf"), "term").withColumn("tf_idf", c("tf") * c("idf"))
+    """tf times idf; terms of most documents are hot keys of this join.
+
+    The idf table is written first: a fresh aggregate would lend the join its
+    partitioning, and adaptive execution could not split the hot terms.
+    """
+    return counts.join(materialize(idf.select("term", "idf"), "idf"), "term").withColumn("tf_idf", c("tf") * c("idf"))

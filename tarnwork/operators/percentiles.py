@@ -20,7 +20,7 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float) -> Da
     )
     ranked = running_totals(counted, keys, [F.col(value)], {"_upto": F.col("_c")})
     sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    joined = ranked.join(sizes, keys) if keys else ranked.withColumn("_n", sizes.scalar())
+    joined = ranked.join(materialize(sizes, "group-sizes"), keys) if keys else ranked.withColumn("_n", sizes.scalar())
     target = (F.col("_n") - 1) * F.lit(p)
     first_index = F.col("_upto") - F.col("_c")
     low, high = F.floor(target), F.ceil(target)

@@ -18,6 +18,7 @@ from tarnwork.ml import draws, matrix, metrics, ranks, text_features
 from tarnwork.ml.gradient import descend, gradient
 from tarnwork.ml.regression import fit_penalised
 from tarnwork.operators.sampling import folds
+from tarnwork.session import materialize
 from tarnwork.sources.frames import rows_to_frame
 
 c = F.col
@@ -573,7 +574,7 @@ def _(t):
               round(sqrt(avg(((CASE WHEN rating > 0 THEN 1.0 ELSE 0.0 END) - greatest(least(prediction / 50, 1.0), 0.0)) ** 2)), 7) AS implicit FROM r""",
 )
 def _(t):
-    means = t.lineitem.groupBy("l_partkey").agg(F.avg("l_quantity").alias("prediction"))
+    means = materialize(t.lineitem.groupBy("l_partkey").agg(F.avg("l_quantity").alias("prediction")), "means")
     scored = t.lineitem.join(means, "l_partkey").select(c("l_quantity").alias("rating"), "prediction")
     implicit = metrics.rmse(scored.withColumn("prediction", c("prediction") / 50), implicit=True)
     return metrics.rmse(scored).select(F.round("rmse", 7).alias("explicit"), F.round(implicit.scalar(), 7).alias("implicit"))

@@ -39,8 +39,8 @@ def _events(t):
     return parquet_stream(t.spark, t.dir, "event*.parquet", t.events.schema)
 
 
-def _timed(t, delay: str = "1 hour"):
-    return event_time(_events(t), "ts", delay)
+def _timed(t):
+    return event_time(_events(t), "ts")
 
 
 def _thirds(t):
@@ -258,8 +258,7 @@ def _(t):
 
 
 _SIDES = f"""l AS (SELECT {_tumble(DAY)} AS start, user_id, event_id AS view_id FROM events WHERE event_type = 'view'),
-             r AS (SELECT {_tumble(DAY)} AS start, user_id, event_id AS buy_id FROM events WHERE event_type = 'purchase'),
-             m AS (SELECT least(max(epoch_us(ts)) FILTER (WHERE event_type = 'view'), max(epoch_us(ts)) FILTER (WHERE event_type = 'purchase')) // 1000 * 1000 - 3600000000 AS mark FROM events)"""
+             r AS (SELECT {_tumble(DAY)} AS start, user_id, event_id AS buy_id FROM events WHERE event_type = 'purchase')"""
 
 
 def _sides(t):
@@ -270,29 +269,34 @@ def _sides(t):
     return side("view", "view_id"), side("purchase", "buy_id")
 
 
-def _join(t, how):
+def _join(t):
     left, right = _sides(t)
-    joined = left.join(right, ["w", "user_id"], how)
-    return append_table(joined.select(window_start("w"), "user_id", "view_id", "buy_id"))
+    return append_table(left.join(right, ["w", "user_id"]).select(window_start("w"), "user_id", "view_id", "buy_id"))
 
 
-@query("str30_join", f"WITH {_SIDES} SELECT l.start AS start, l.user_id AS user_id, view_id, buy_id FROM l JOIN r ON l.start = r.start AND l.user_id = r.user_id")
-def _(t):
-    return _join(t, "inner")
+def _unmatched(side, joined, name):
+    """Rows of one side, read to the same end, that the join has not used."""
+    every = append_table(side.select(window_start("w"), "user_id", name))
+    return every.join(joined.select(c(name).alias("used")), c(name) == c("used"), "left_anti")
 
 
-_CLOSED = f"(start + {DAY}) * 1000000 <= (SELECT mark FROM m)"
+@query("str30_join", f"WITH {_SIDES} SELECT l.start AS start, l.user_id AS user_id, view_id, buy_id FROM l JOIN r ON l.start = r.start AND l.user_id = r.user_id")
+def _(t):
+    return _join(t)
 
 
-@query("str31_left_outer_join", f"WITH {_SIDES} SELECT l.start AS start, l.user_id AS user_id, view_id, buy_id FROM l LEFT JOIN r ON l.start = r.start AND l.user_id = r.user_id WHERE buy_id IS NOT NULL OR {_CLOSED.replace('start', 'l.start')}")
+@query("str31_left_outer_join", f"WITH {_SIDES} SELECT l.start AS start, l.user_id AS user_id, view_id, buy_id FROM l LEFT JOIN r ON l.start = r.start AND l.user_id = r.user_id")
 def _(t):
-    # An unmatched row comes out once the watermark closes its window.
-    return _join(t, "left")
+    joined = _join(t)
+    alone = _unmatched(_sides(t)[0], joined, "view_id")
+    return joined.unionByName(alone, allowMissingColumns=True)
 
 
-@query("str32_right_outer_join", f"WITH {_SIDES} SELECT r.start AS start, r.user_id AS user_id, view_id, buy_id FROM l RIGHT JOIN r ON l.start = r.start AND l.user_id = r.user_id WHERE view_id IS NOT NULL OR {_CLOSED.replace('start', 'r.start')}")
+@query("str32_right_outer_join", f"WITH {_SIDES} SELECT r.start AS start, r.user_id AS user_id, view_id, buy_id FROM l RIGHT JOIN r ON l.start = r.start AND l.user_id = r.user_id")
 def _(t):
-    return _join(t, "right")
+    joined = _join(t)
+    alone = _unmatched(_sides(t)[1], joined, "buy_id")
+    return joined.unionByName(alone, allowMissingColumns=True)
 
 
 @query("str33_stream_static_join", "SELECT event_id, c_mktsegment FROM events JOIN customer ON user_id = c_custkey")

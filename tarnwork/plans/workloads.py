@@ -104,7 +104,7 @@ def _rank_by_joins(rounds: int) -> str:
 def _(t):
     # Only ids that receive something keep a rank after a round.
     links = t.orders.join(t.lineitem, c("o_orderkey") == c("l_orderkey")).select(c("o_custkey").alias("src"), c("l_suppkey").alias("dst")).distinct()
-    degree = links.groupBy("src").agg(F.count("*").alias("d"))
+    degree = materialize(links.groupBy("src").agg(F.count("*").alias("d")), "link-degrees")
     weighted = materialize(links.join(degree, "src").select("src", "dst", (1.0 / c("d")).alias("w")), "links")
     ranks = weighted.select(c("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     for _i in range(3):

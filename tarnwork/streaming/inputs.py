@@ -15,9 +15,16 @@ def parquet_stream(spark: SparkSession, directory: str, pattern: str, schema, fi
     return reader.parquet(f"{directory}/{pattern}")
 
 
-def event_time(df: DataFrame, column: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """The column as an instant with a watermark, so old state can be dropped."""
-    return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
+def event_time(df: DataFrame, column: str = "ts", delay: str | None = None) -> DataFrame:
+    """The column as an instant.
+
+    With a ``delay``, rows that come later than that behind the newest of the
+    batches before are dropped, and state older than it goes; without one
+    nothing is dropped, however the files are ordered, and a run to the end
+    of its input keeps the state of all windows.
+    """
+    timed = df.withColumn(column, F.col(column).cast("timestamp"))
+    return timed.withWatermark(column, delay) if delay else timed
 
 
 def queued(frames: list[DataFrame], files_per_batch: int = 1) -> DataFrame:

@@ -49,10 +49,21 @@ def append_table(stream: DataFrame, label: str = "appended", checkpoint: str | N
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def _begun(like: DataFrame, label: str) -> str:
+    """A folder for batches that holds one without rows, so that it can be read when no other comes."""
+    path = fresh_dir(like.sparkSession, label)
+    like.write.parquet(f"{path}/batch=-1")
+    return path
+
+
+def _no_rows(stream: DataFrame) -> DataFrame:
+    return stream.sparkSession.createDataFrame([], stream.schema)
+
+
 def batch_table(stream: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str | None = None) -> DataFrame:
     """One output slice per micro-batch, with its number in ``batch``."""
     spark = stream.sparkSession
-    path = fresh_dir(spark, label)
+    path = _begun(transform(_no_rows(stream)).limit(0), label)
 
     def write(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
@@ -67,7 +78,7 @@ def upsert_table(stream: DataFrame, keys: list[str], label: str = "upserted", ch
     Only rows that changed are written, so a batch costs what it touched.
     """
     spark = stream.sparkSession
-    path = fresh_dir(spark, label)
+    path = _begun(_no_rows(stream), label)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")

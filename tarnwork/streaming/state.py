@@ -32,21 +32,29 @@ def update_state_by_key(
     """
     spark = stream.sparkSession
     path = path or fresh_dir(spark, "keyed-state")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def step(batch: DataFrame, number: int) -> None:
-        fresh = batch.groupBy(key).agg(*[a.alias(n) for n, a in batch_aggs.items()])
-        if number == 0:
+    def stepped(fresh: DataFrame, old: DataFrame | None) -> DataFrame:
+        if old is None:
             known = fresh.select("*", *[F.lit(None).alias(f"old_{n}") for n in next_state])
         else:
-            old = spark.read.parquet(f"{path}/version={number - 1}")
-            old = old.select(key, *[F.col(n).alias(f"old_{n}") for n in next_state])
-            known = full_outer(fresh, old, [key])
+            known = full_outer(fresh, old.select(key, *[F.col(n).alias(f"old_{n}") for n in next_state]), [key])
         state = known.select(key, *[e.alias(n) for n, e in next_state.items()])
-        if keep is not None:
-            state = state.where(keep)
-        state.write.mode("overwrite").parquet(f"{path}/version={number}")
+        return state.where(keep) if keep is not None else state
+
+    def reduced(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(key).agg(*[a.alias(n) for n, a in batch_aggs.items()])
+
+    def step(batch: DataFrame, number: int) -> None:
+        old = spark.read.parquet(f"{path}/version={number - 1}") if number else None
+        stepped(reduced(batch), old).write.mode("overwrite").parquet(f"{path}/version={number}")
+        # A replay of this batch reads the version before it; what is older can go.
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number - 2}"), True)
 
     run(stream, "append", step, checkpoint)
+    if not files.exists(folder):
+        return stepped(reduced(spark.createDataFrame([], stream.schema)), None)  # nothing has ever arrived
     versions = spark.read.option("basePath", path).parquet(f"{path}/version=*")
     # Only the newest version's files are read: version is a partition value.
     return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")

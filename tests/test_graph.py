@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnwork.graph import algorithms as alg
-from tarnwork.graph.model import Graph, StoredEdges
+from tarnwork.graph.model import Graph, StoredEdges, endpoints
 from tarnwork.graph.pregel import pregel
 
 
@@ -149,3 +149,18 @@ def test_svd_plus_plus_step_matches_numpy(spark):
             want[x][2] += (e - 0.005 * s[x][2]) * 0.007
     for r in after.collect():
         assert r.v1 == pytest.approx(list(want[r.id][0])) and r.v2 == pytest.approx(list(want[r.id][1])) and r.bias == pytest.approx(want[r.id][2])
+
+
+def test_bounds_on_rounds_fail_loudly(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 1)], "src long, dst long")
+    g = Graph(spark.range(1, 5), edges)
+    with pytest.raises(RuntimeError):
+        alg.pagerank_until(g, 1e-9, max_rounds=3)
+    assert alg.pagerank_until(g, 1e-3).count() == 4
+
+
+def test_components_of_a_hub(spark):
+    edges = spark.range(1, 400).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst")).union(
+        spark.createDataFrame([(500, 501), (501, 502)], "src long, dst long"))
+    got = {r.id: r.component for r in alg.connected_components(Graph(endpoints(edges), edges)).collect()}
+    assert got == {**{i: 0 for i in range(400)}, 500: 500, 501: 500, 502: 500}

@@ -124,3 +124,18 @@ def test_draws_do_not_depend_on_partitioning(spark):
     df = spark.range(50).withColumnRenamed("id", "u")
     pick = lambda d: sorted(map(tuple, d.select("u", draws.normal("u", 1).alias("g"), draws.poisson("u", 2, 3.0).alias("p")).collect()))
     assert pick(df) == pick(df.repartition(7))
+
+
+def test_wide_svd_equals_the_exact_one_and_fails_when_cut_short(spark, monkeypatch):
+    data = np.random.default_rng(5).normal(size=(300, 40))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(data)], "row long, features array<double>").repartition(4)
+    want = np.linalg.svd(data)[1][:3]
+    _u, exact, _v = matrix.svd(df, 3)
+    monkeypatch.setattr(matrix, "LOCAL_COLUMNS", 10)
+    _u, wide, v = matrix.svd(df, 3)
+    assert np.abs(wide - want).max() < 1e-8 and np.abs(exact - want).max() < 1e-8
+    assert np.abs(v.T @ v - np.eye(3)).max() < 1e-8
+    with pytest.raises(RuntimeError):
+        matrix._top_vectors(df, 3, rounds=2)
+    with pytest.raises(ValueError):
+        matrix.principal_components(df, 2)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tarnwork.ml.streaming_regression import StreamingLinearRegression
 from tarnwork.session import fresh_dir
 from tarnwork.streaming import sketches
-from tarnwork.streaming.inputs import event_time, queued
+from tarnwork.streaming.inputs import event_time, parquet_stream, queued
 from tarnwork.streaming.sinks import batch_table, upsert_table
 from tarnwork.streaming.state import update_state_by_key
 from tarnwork.streaming.windows import windowed_table, with_empty_windows
@@ -38,6 +38,23 @@ def test_late_rows_are_dropped_after_the_watermark(spark):
     assert sorted(r.n for r in got.collect()) == [1, 3]
 
 
+def test_nothing_is_dropped_without_a_delay(spark):
+    df = events(spark, [(f"2024-01-{d:02d} {h:02d}:00:00", "a", 1.0) for d in range(1, 9) for h in range(0, 24, 3)])
+    parts = [df.where(f"day(ts) {cond}") for cond in ("> 5", "< 3", "BETWEEN 3 AND 5")]
+    got = windowed_table(event_time(queued(parts)), "1 day", None, [], {"n": F.count("*")})
+    assert sorted(r.n for r in got.collect()) == [8] * 8
+
+
+def test_streams_without_files_give_empty_tables(spark):
+    path = fresh_dir(spark, "nothing")
+    spark.createDataFrame([], "ts timestamp, k string, v double").write.parquet(path)
+    stream = parquet_stream(spark, path, "part-none*", spark.read.parquet(path).schema)
+    assert windowed_table(event_time(stream), "1 day", None, ["k"], {"n": F.count("*")}).collect() == []
+    assert batch_table(stream, "none", lambda b: b.agg(F.count("*").alias("n"))).collect() == []
+    state = update_state_by_key(stream, "k", {"new": F.count("*")}, {"n": F.coalesce("old_n", F.lit(0)).cast("long") + F.coalesce("new", F.lit(0))})
+    assert state.collect() == [] and state.columns == ["k", "n"]
+
+
 def test_empty_windows(spark):
     df = spark.createDataFrame([(0, 2), (180, 1)], "start long, n long")
     assert [tuple(r) for r in with_empty_windows(df, 60, "n").orderBy("start").collect()] == [(0, 2), (60, 0), (120, 0), (180, 1)]
