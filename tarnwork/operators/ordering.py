@@ -83,9 +83,19 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str =
 
 
 def index_rows(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
-    """0-based global position of every row in the given total order."""
-    ranked = rank_within(df, [], order, name)
-    return ranked.withColumn(name, F.col(name) - 1)
+    """0-based global position of every row in the given total order.
+
+    A row's place in its written partition plus the rows of the partitions
+    before it: one number for each partition is broadcast, and nothing is
+    shuffled or sorted again after the stage.
+    """
+    columns = df.columns
+    stage = _ordered_stage(df, [], order)
+    sizes = stage.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = stage.join(F.broadcast(offsets), "_part")
+    return placed.select(*columns, (F.col("_before") + F.col("_pos")).alias(name))
 
 
 def chunked_lists(

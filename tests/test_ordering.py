@@ -71,3 +71,13 @@ def test_exact_percentile(spark, values, p):
     t = (len(s) - 1) * p
     lo, hi = s[int(t // 1)], s[min(len(s) - 1, int(-(-t // 1)))]
     assert got == pytest.approx(lo + (hi - lo) * (t - t // 1))
+
+
+def test_index_rows_shuffles_nothing_after_its_stage(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v"))
+    indexed = index_rows(df, [F.col("v")])
+    assert all(r.idx == r.v for r in indexed.collect())
+    plan = indexed._jdf.queryExecution().executedPlan().toString()
+    # Only the table of offsets is exchanged: by partition, to one task, and broadcast.
+    assert "hashpartitioning(_part" in plan and plan.count("Sort [") <= 2 * plan.count("Window")
+    assert not any("v#" in line and "Exchange hashpartitioning" in line for line in plan.splitlines())
