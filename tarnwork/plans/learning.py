@@ -69,6 +69,17 @@ def _(t):
     return ranks.spearman(t.lineitem, "l_quantity", "l_extendedprice").select(F.round("spearman", 9).alias("spearman"))
 
 
+@query(
+    "ml03_spearman_matrix",
+    """WITH x AS (SELECT vec_id, unnest(range(16))::INTEGER AS i, unnest(embedding[1:16]) AS e FROM embeddings),
+            r AS (SELECT vec_id, i, rank() OVER (PARTITION BY i ORDER BY e) + (count(*) OVER (PARTITION BY i, e) - 1) / 2.0 AS k FROM x)
+       SELECT a.i AS i, b.i AS j, round(CASE WHEN a.i = b.i THEN 1.0 ELSE corr(a.k, b.k) END, 7) AS v FROM r a JOIN r b USING (vec_id) GROUP BY a.i, b.i""",
+)
+def _(t):
+    part = _emb(t).select("vec_id", F.slice("features", 1, 16).alias("features"))
+    return ranks.spearman_matrix(part, "vec_id").select("i", "j", F.round("v", 7).alias("v"))
+
+
 @query("ml04_random_columns", "SELECT count(*) AS n, true AS uniform_ok, true AS normal_ok, true AS poisson_ok FROM orders")
 def _(t):
     k = "o_orderkey"
