@@ -245,7 +245,8 @@ def svd_plus_plus(
     """
     edges = materialize(ratings.select("src", "dst", "attr"), "svd-edges")
     mean = edges.agg(F.avg("attr")).head()[0]
-    rand = lambda salt: F.array(*[F.pmod(F.xxhash64(F.lit(seed + salt), F.lit(i), "id"), F.lit(1_000_003)) / 1_000_003 for i in range(rank)])
+    # Factors begin at a fixed function of the id, spread evenly over [0, 1).
+    rand = lambda salt: F.array(*[F.pmod(c("id") * 7919 + (seed + salt) * 104_729 + i * 350_377, F.lit(1_000_003)) / 1_000_003 for i in range(rank)])
     ends = edges.select(F.explode(F.array("src", "dst")).alias("id"), "attr")
     start = ends.groupBy("id").agg(F.avg("attr").alias("bias"), (1.0 / F.sqrt(F.count("*"))).alias("norm"))
     state = materialize(start.select("id", rand(0).alias("v1"), rand(7).alias("v2"), "bias", "norm"), "svd")

@@ -362,7 +362,33 @@ def _(t):
     return alg.shortest_paths(_trade(t), [1, 700, 1200])
 
 
-@query("gra36_svd_plus_plus")
+def _feedback_factors(rounds: int, low: float, high: float) -> str:
+    """The same rounds over two factors, written out: p is a vertex's own factor, y its feedback factor."""
+    drawn = lambda salt, i: f"(((id * 7919 + {(1 + salt) * 104729 + i * 350377}) % 1000003 + 1000003) % 1000003) / 1000003.0::DOUBLE"
+    text = f"""WITH E AS MATERIALIZED (SELECT l_suppkey AS src, -1 - l_partkey AS dst, avg(l_quantity / 10) AS attr FROM lineitem GROUP BY 1, 2),
+        mean AS (SELECT avg(attr) AS mu FROM E),
+        v0 AS MATERIALIZED (SELECT id, {drawn(0, 0)} AS p0, {drawn(0, 1)} AS p1, {drawn(7, 0)} AS y0, {drawn(7, 1)} AS y1, avg(attr) AS bias, 1 / sqrt(count(*)) AS norm
+                            FROM (SELECT unnest([src, dst]) AS id, attr FROM E) GROUP BY id)"""
+    error = f"attr - least(greatest(mu + s.bias + d.bias + d.p0 * s.y0 + d.p1 * s.y1, {low}), {high})"
+    for r in range(rounds):
+        text += f""",
+        m{r} AS (SELECT src AS id, sum(y0) AS m0, sum(y1) AS m1 FROM E JOIN v{r} ON dst = id GROUP BY src),
+        f{r} AS MATERIALIZED (SELECT v.id, p0, p1, CASE WHEN m0 IS NULL THEN y0 ELSE p0 + m0 * norm END AS y0, CASE WHEN m1 IS NULL THEN y1 ELSE p1 + m1 * norm END AS y1, bias, norm
+                              FROM v{r} v LEFT JOIN m{r} m ON v.id = m.id),
+        t{r} AS MATERIALIZED (SELECT src, dst, s.p0 AS sp0, s.p1 AS sp1, s.y0 AS sy0, s.y1 AS sy1, s.bias AS sb, s.norm AS sn, d.p0 AS dp0, d.p1 AS dp1, d.y0 AS dy0, d.y1 AS dy1, d.bias AS db,
+                                     {error} AS err FROM E JOIN f{r} s ON src = s.id JOIN f{r} d ON dst = d.id, mean),
+        c{r} AS (SELECT id, sum(a0) AS a0, sum(a1) AS a1, sum(b0) AS b0, sum(b1) AS b1, sum(b) AS b FROM (
+            SELECT src AS id, (dp0 * err - sp0 * 0.015) * 0.007 AS a0, (dp1 * err - sp1 * 0.015) * 0.007 AS a1, (dp0 * err * sn - dy0 * 0.015) * 0.007 AS b0,
+                   (dp1 * err * sn - dy1 * 0.015) * 0.007 AS b1, (err - 0.005 * sb) * 0.007 AS b FROM t{r}
+            UNION ALL
+            SELECT dst, (sy0 * err - dp0 * 0.015) * 0.007, (sy1 * err - dp1 * 0.015) * 0.007, (dp0 * err * sn - dy0 * 0.015) * 0.007,
+                   (dp1 * err * sn - dy1 * 0.015) * 0.007, (err - 0.005 * db) * 0.007 FROM t{r}) GROUP BY id),
+        v{r + 1} AS MATERIALIZED (SELECT f.id, p0 + a0 AS p0, p1 + a1 AS p1, y0 + b0 AS y0, y1 + b1 AS y1, f.bias + c.b AS bias, norm FROM f{r} f JOIN c{r} c ON f.id = c.id)"""
+    return text + f""" SELECT (SELECT count(*) FROM v{rounds}) AS vertices, round(sqrt(sum(power({error}, 2))), 4) AS error, round(any_value(mu), 6) AS mean
+        FROM E JOIN v{rounds} s ON src = s.id JOIN v{rounds} d ON dst = d.id, mean"""
+
+
+@query("gra36_svd_plus_plus", _feedback_factors(2, 0.0, 5.0))
 def _(t):
     ratings = t.lineitem.groupBy(c("l_suppkey").alias("src"), (-1 - c("l_partkey")).alias("dst")).agg(F.avg(c("l_quantity") / 10).alias("attr"))
     state, mean = alg.svd_plus_plus(ratings, rank=2, rounds=2, low=0.0, high=5.0)

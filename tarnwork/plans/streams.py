@@ -348,12 +348,25 @@ def _(t):
     return changes.groupBy("user_id").agg(F.max_by("n", "batch").alias("n"))
 
 
-@query("str39_streaming_linear_regression")
+def _regression_sql(step: float, rounds: int) -> str:
+    text = f"""WITH p AS MATERIALIZED (SELECT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch, value / 100 AS y,
+        hour(ts) / 24 AS x1, (props->>'$.k')::DOUBLE / 100 AS x2 FROM events), s0_0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c)"""
+    for batch in range(3):
+        if batch:
+            text += f", s{batch}_0 AS (SELECT * FROM s{batch - 1}_{rounds})"
+        for i in range(1, rounds + 1):
+            down = lambda w, x: f"any_value({w}) - {step / i**0.5!r} * sum(2 * (a + b * x1 + c * x2 - y){x}) / count(*) AS {w}"
+            text += f", s{batch}_{i} AS MATERIALIZED (SELECT {down('a', '')}, {down('b', ' * x1')}, {down('c', ' * x2')} FROM p, s{batch}_{i - 1} WHERE batch = {batch})"
+    return text + " UNION ALL ".join(f" SELECT {b} AS batch, round(a, 6) AS w0, round(b, 6) AS w1, round(c, 6) AS w2 FROM s{b}_{rounds}" for b in range(3))
+
+
+@query("str39_streaming_linear_regression", _regression_sql(0.3, 10))
 def _(t):
     from tarnwork.ml.streaming_regression import StreamingLinearRegression
 
     points = _thirds(t).select((c("value") / 100).alias("label"), F.array(F.lit(1.0), F.hour("ts") / 24, F.get_json_object("props", "$.k").cast("double") / 100).alias("features"))
-    return StreamingLinearRegression(dims=3, step=0.3, iterations=10).train_on(points).weight_history()
+    history = StreamingLinearRegression(dims=3, step=0.3, iterations=10).train_on(points).weight_history()
+    return history.select("batch", *[F.round(F.split("weights", ",")[i].cast("double"), 6).alias(f"w{i}") for i in range(3)])
 
 
 @query("str40_labelled_point_stream", "SELECT label::DOUBLE AS label, len(embedding)::INTEGER AS dims, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 9) AS total FROM embeddings")
