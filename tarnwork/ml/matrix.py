@@ -39,7 +39,10 @@ def _add_up(partials: DataFrame, n_slots: int = 64) -> DataFrame:
 
 
 def _partial_products(df: DataFrame, right: np.ndarray | None = None) -> DataFrame:
-    """Per partition, sum of x^T x (or x^T (x right)) as rows (i, row); row -1 holds the column sums."""
+    """Per task, sum of x^T x (or x^T (x right)) as rows (i, row); row -1 holds the column sums.
+
+    There are no more tasks, and so no more partial products, than cores.
+    """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         product = sums = None
@@ -54,7 +57,8 @@ def _partial_products(df: DataFrame, right: np.ndarray | None = None) -> DataFra
         if product is not None:
             yield pd.DataFrame({"i": np.arange(-1, len(product), dtype=np.int32), "row": [sums, *product]})
 
-    return df.select("features").mapInPandas(partial, "i int, row array<double>")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.select("features").coalesce(cores).mapInPandas(partial, "i int, row array<double>")
 
 
 def _collect_product(df: DataFrame, right: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -291,28 +291,45 @@ def _(t):
     return _coefficients(t, fit_penalised(_prices(t), "l1", 20.0))
 
 
-def _classes(t):
-    """Signed-up or not by the hour and the size of the value: a binary problem over all events."""
-    return draws.logistic_points(t.orders, "o_orderkey", [1.5, -2.0], 0.5, seed=21)
+_SHIPPED = "SELECT CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS y, o_totalprice / 100000 AS x FROM orders"
 
 
-@query("ml22_logistic_regression", "SELECT count(*) AS n, true AS flat_gradient, true AS recovers FROM orders")
+def _shipped(t):
+    """Filled orders against their price."""
+    return t.orders.select((c("o_orderstatus") == "F").cast("double").alias("label"), (c("o_totalprice") / 100000).alias("x"))
+
+
+def _newton_sql(rounds: int) -> str:
+    """The maximum of the logistic likelihood over an intercept and a slope, by Newton steps."""
+    text = f"WITH p AS MATERIALIZED ({_SHIPPED}), w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"
+    for i in range(1, rounds + 1):
+        text += f""", s{i} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, sum(y - q) AS g0, sum((y - q) * x) AS g1, sum(q * (1 - q)) AS h0, sum(q * (1 - q) * x) AS h1, sum(q * (1 - q) * x * x) AS h2
+                      FROM (SELECT *, 1 / (1 + exp(-(a + b * x))) AS q FROM p, w{i - 1})),
+            w{i} AS (SELECT a + (h2 * g0 - h1 * g1) / (h0 * h2 - h1 * h1) AS a, b + (h0 * g1 - h1 * g0) / (h0 * h2 - h1 * h1) AS b FROM s{i})"""
+    return text + f" SELECT round(b, 4) AS slope, round(a, 4) AS intercept FROM w{rounds}"
+
+
+@query("ml22_logistic_regression", _newton_sql(8))
 def _(t):
-    df = _classes(t)
-    model = mc.LogisticRegression(maxIter=100, tol=1e-10, regParam=0.0).fit(_vec(df))
-    w = [float(model.intercept), *map(float, model.coefficients)]
-    with_bias = df.select("label", F.concat(F.array(F.lit(1.0)), "features").alias("features"))
-    g, n, _loss = gradient(with_bias, w, "logistic")
-    flat = max(abs(x) for x in g) / n < 1e-5
-    recovers = abs(w[1] - 1.5) < 0.25 and abs(w[2] + 2.0) < 0.25 and abs(w[0] - 0.5) < 0.25
-    return df.agg(F.count("*").alias("n"), F.lit(flat).alias("flat_gradient"), F.lit(recovers).alias("recovers"))
+    rows = _shipped(t).select("label", array_to_vector(F.array("x")).alias("features"))
+    return _coefficients(t, mc.LogisticRegression(maxIter=200, tol=1e-14, regParam=0.0).fit(rows))
+
+
+def _hinge_sql(rounds: int, step: float, reg: float) -> str:
+    text = f"WITH p AS MATERIALIZED (SELECT 2 * y - 1 AS s, x FROM ({_SHIPPED})), w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"
+    for i in range(1, rounds + 1):
+        rate = step / i**0.5
+        down = lambda w, x: f"any_value({w}) * (1 - {rate!r} * {reg}) + {rate!r} * avg(CASE WHEN s * (a + b * x) < 1 THEN s{x} ELSE 0 END) AS {w}"
+        text += f", w{i} AS MATERIALIZED (SELECT {down('a', '')}, {down('b', ' * x')} FROM p, w{i - 1})"
+    return text + f" SELECT round(a, 6) AS a, round(b, 6) AS b, (SELECT count(*) FROM p, w{rounds} WHERE s * (a + b * x) > 0) AS separated FROM w{rounds}"
 
 
-@query("ml23_linear_svm", "SELECT count(*) AS n, true AS separates FROM orders")
+@query("ml23_linear_svm", _hinge_sql(6, 0.7, 0.05))
 def _(t):
-    df = _vec(draws.margin_points(t.orders, "o_orderkey", [2.0, -1.0, 0.5], 0.05, seed=8))
-    scored = mc.LinearSVC(maxIter=50, regParam=0.001).fit(df).transform(df)
-    return scored.agg(F.count("*").alias("n"), (F.avg((c("prediction") == c("label")).cast("double")) > 0.93).alias("separates"))
+    rows = _shipped(t).select("label", F.array(F.lit(1.0), c("x")).alias("features"))
+    w = descend(rows, [0.0, 0.0], "hinge", "l2", 0.05, 0.7, 6)
+    margin = (2 * c("label") - 1) * (F.lit(w[0]) + F.lit(w[1]) * c("features")[1])
+    return rows.agg(F.lit(round(w[0], 6)).alias("a"), F.lit(round(w[1], 6)).alias("b"), F.count_if(margin > 0).alias("separated"))
 
 
 _LETTERS = ("e", "n", "t")

@@ -139,3 +139,12 @@ def test_wide_svd_equals_the_exact_one_and_fails_when_cut_short(spark, monkeypat
         matrix._top_vectors(df, 3, rounds=2)
     with pytest.raises(ValueError):
         matrix.principal_components(df, 2)
+
+
+def test_partial_products_are_bounded_by_cores(spark):
+    data = np.random.default_rng(6).normal(size=(200, 5))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(data)], "row long, features array<double>").repartition(37)
+    assert matrix._partial_products(df).count() <= 6 * spark.sparkContext.defaultParallelism
+    got = {(r.i, r.j): r.v for r in matrix.gramian(df).collect()}
+    want = data.T @ data
+    assert all(abs(got[i, j] - want[i, j]) < 1e-9 for i in range(5) for j in range(5))
