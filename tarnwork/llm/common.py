@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.session import apply_semantics, materialize
 
-__all__ = ["DOCUMENT", "arrow_fields", "batched", "materialize", "pick", "table"]
+__all__ = ["DOCUMENT", "arrow_fields", "batched", "materialize", "pick", "prepare", "release", "table"]
 
 #: The columns of documents.
 DOCUMENT = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
@@ -21,8 +24,25 @@ def arrow_fields(types: dict[str, str]) -> list[pa.Field]:
     return [pa.field(name, _ARROW[kind]) for name, kind in types.items()]
 
 
+ROWS = 2000  # rows of an Arrow batch, so that a batch of long documents stays small
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's semantics, and small batches between Spark and Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+    return apply_semantics(spark)
+
+
+def release() -> None:
+    """Give freed memory back; a worker waits for other tasks and would keep it beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return apply_semantics(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def pick(df: DataFrame, **types: str) -> DataFrame:

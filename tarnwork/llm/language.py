@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import DOCUMENT, arrow_fields, batched, pick, table
+from tarnwork.llm.common import DOCUMENT, arrow_fields, batched, pick, release, table
 
 c = F.col
 
@@ -69,6 +69,7 @@ def fit(docs: DataFrame, smoothing: float = 0.5) -> Model:
         for lang, n in seen.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], schema=_COUNTS)
+        release()
 
     rows = pick(docs, text="string", lang="string").dropna().mapInArrow(count, "lang string, gram int, n long")
     found = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
@@ -136,7 +137,7 @@ def infer(model: Model, texts: list[np.ndarray], penalty: float, rounds: int) ->
     return chosen, overall
 
 
-def predict(docs: DataFrame, model: Model, penalty: float = 3.0, rounds: int = 12, piece: int = 1 << 19,
+def predict(docs: DataFrame, model: Model, penalty: float = 3.0, rounds: int = 12, piece: int = 1 << 18,
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(``keep``, lang_pred, score, languages) of every row of ``docs`` (``keep``, text).
 
@@ -179,6 +180,7 @@ def predict(docs: DataFrame, model: Model, penalty: float = 3.0, rounds: int = 1
                 yield from named(held)
 
         yield from batched(rows(), schema, 512)
+        release()
 
     read = pick(docs, **{"text": "string"} | kept).select(c("text").alias("_text"), *keep)
     return read.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in kept.items()) + ", lang_pred string, score double, languages array<struct<lang: string, share: double>>")

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import batched, pick, table
+from tarnwork.llm.common import batched, pick, release, table
 from tarnwork.llm.tokens import WORD_BPE, WordEncoder, encoder, vocabulary
 
 END = (2).to_bytes(4, "little")
@@ -91,7 +91,8 @@ def pack(docs: DataFrame, capacity: int = 4096, group: int = GROUP, path: str |
                         held, tokens = [], 0
             yield from closed(held)
 
-        yield from batched(pieces(), _OUT, 1024)
+        yield from batched(pieces(), _OUT, 256)
+        release()
 
     return pick(docs, doc_id="long", text="binary").mapInArrow(
         run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import DOCUMENT, materialize, pick, table
+from tarnwork.llm.common import DOCUMENT, materialize, pick, release, table
 from tarnwork.llm.components import components
 
 c = F.col
@@ -48,6 +48,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py() or b"", words) for t in batch.column(2)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["doc_id", "row", "fp"])
+        release()
 
     read = pick(docs, doc_id="long", text="string").select("doc_id", F.xxhash64("text").alias("row"), c("text").cast("binary").alias("text"))
     return read.mapInArrow(run, "doc_id long, row long, fp long")
@@ -136,6 +137,7 @@ def _compare(radius: int, limit: int | None):
                 yield out(True, keys, fps)
                 keys, fps = keys[:0], fps[:0]
         yield from closed(keys, fps)
+        release()
 
     return run
 
