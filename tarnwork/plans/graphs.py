@@ -354,7 +354,7 @@ def _(t):
 
 @query(
     "gra35_shortest_paths",
-    f"""WITH RECURSIVE E AS ({_E}), w AS (SELECT id, id AS landmark, 0 AS hops FROM (VALUES (1::BIGINT), (700), (1200)) x(id)
+    f"""WITH RECURSIVE E AS ({_E}), w AS (SELECT id, id AS landmark, 0 AS hops FROM (VALUES (1::BIGINT), (700), (1200)) x(id) WHERE id IN (SELECT src FROM E UNION SELECT dst FROM E)
          UNION SELECT dst, landmark, hops + 1 FROM w JOIN E ON src = id WHERE hops < 6)
         SELECT id, landmark, min(hops) AS hops FROM w GROUP BY 1, 2""",
 )
