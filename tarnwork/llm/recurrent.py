@@ -54,12 +54,13 @@ class Shape:
         return flat
 
 
-def streams(docs: list[np.ndarray], end: int, n: int) -> tuple[np.ndarray, ...]:
+def streams(docs: list[np.ndarray], end: int, n: int, first: list[int] | None = None) -> tuple[np.ndarray, ...]:
     """Documents laid end to end in at most ``n`` streams of nearly equal length, longest stream first.
 
     (inputs, targets, fresh, document), each steps x streams: the unit before
-    each target, the target or -1 past the end, whether a document begins,
-    and its number.  No document is cut.
+    each target (``first``, or the end, before a document's own), the target
+    or -1 past the end, whether a document begins, and its number.  No
+    document is cut.
     """
     heap = [(0, i) for i in range(min(n, len(docs)))]
     lanes: list[list[int]] = [[] for _ in heap]
@@ -76,6 +77,8 @@ def streams(docs: list[np.ndarray], end: int, n: int) -> tuple[np.ndarray, ...]:
         for d in ds:
             n = len(docs[d])
             targets[at : at + n, lane] = docs[d]
+            if first:
+                inputs[at, lane] = first[d]
             inputs[at + 1 : at + n, lane] = docs[d][:-1]
             fresh[at, lane] = True
             number[at : at + n, lane] = d
@@ -174,13 +177,17 @@ class Network:
             out += np.bincount(number[part][real], found, len(docs))
         return out
 
-    def train(self, docs: list[np.ndarray], end: int, lanes: int, window: int, rate: float, squares: np.ndarray) -> int:
-        """One pass over the documents by truncated backpropagation, with steps scaled by past gradients; tokens seen.
+    def train(self, docs: list[np.ndarray], end: int, lanes: int, window: int, rate: float, squares: np.ndarray, stretch: int = 1024) -> int:
+        """One pass over all tokens by truncated backpropagation, with steps scaled by past gradients; tokens seen.
 
-        Gradients stop at the beginning of a window; its state is that of the window before.
+        Gradients stop at the beginning of a window; its state is that of the
+        window before.  A document of more than ``stretch`` tokens is learned
+        from in stretches side by side, which begin with the unit before them
+        and without state, so that one long document does not hold up a batch.
         """
         k, w = self.shape.hidden, self.w
-        inputs, targets, fresh, _ = streams(docs, end, lanes)
+        cuts = [(d, s) for d in docs for s in range(0, len(d), stretch)]
+        inputs, targets, fresh, _ = streams([d[s : s + stretch] for d, s in cuts], end, lanes, [int(d[s - 1]) if s else end for d, s in cuts])
         flat = np.zeros_like(self.flat)
         grads, held = self.shape.views(flat), self.shape.views(squares)
         seen, h = 0, np.zeros((inputs.shape[1], k), np.float32)

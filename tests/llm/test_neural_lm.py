@@ -63,6 +63,16 @@ def test_streams_hold_every_document_once():
         assert fresh[at, lane[0]].tolist() == [True] + [False] * (len(doc) - 1)
 
 
+def test_long_documents_are_learned_from_in_stretches():
+    docs = some_docs(np.random.default_rng(6), 5)
+    shape, net = network(8)
+    other, squares = Network(shape, net.flat.copy()), np.zeros((2, shape.size), np.float32)
+    assert net.train(docs, 0, 9, 50, 0.0, squares[0], stretch=7) == sum(map(len, docs))
+    pieces = [d[s : s + 7] for d in docs for s in range(0, len(d), 7)]
+    assert other.train(pieces, 0, 9, 50, 0.0, squares[1]) == sum(map(len, docs))
+    assert not np.allclose(squares[0], squares[1])  # the unit before a stretch is not the end
+
+
 def test_gradients_by_differences():
     docs = some_docs(np.random.default_rng(3), 4)
     shape, net = network(5)
