@@ -21,11 +21,15 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(F.col("lang_pred") != language.UNDECIDED).withColumnRenamed("lang_pred", "lang").select(*DOCUMENT)
 
 
+def _without_lines(docs: DataFrame, lengths: str) -> DataFrame:
+    left = line_templates.drop_recurring_lines(docs, keep=("lang", "source"), lengths=lengths)
+    return left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document has; those of which no word is left go."""
+    """Documents without lines of five words or more that an earlier document has; those of which no word is left go."""
     prepare(spark)
-    left = line_templates.drop_recurring_lines(docs, keep=("lang", "source"))
-    return left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT)
+    return _without_lines(docs, "long")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +38,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(docs)
 
 
+def drop_short_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines of one to four words that an earlier document has; those of which no word is left go."""
+    prepare(spark)
+    return _without_lines(docs, "short")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them: not at all, once, or up to three times."""
     prepare(spark)
@@ -50,6 +60,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("language", identify),
     ("lines", drop_lines),
     ("near-duplicates", drop_near_duplicates),
+    ("short-lines", drop_short_lines),
     ("mix", mix_sources),
     ("pack", pack_sequences),
 ]

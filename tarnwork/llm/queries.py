@@ -8,6 +8,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         line_templates.op1_line_template_dedup,
+        line_templates.op1_every_line_dedup,
         mixing.op2_golden_ratio_mix,
         lempel_ziv.op3_lempel_ziv_fingerprint,
         simhash.op4_simhash_ball_dedup,
@@ -19,4 +20,4 @@ QUERIES = {
         neural_lm.op10_recurrent_lm,
     )
 }
-ORACLES: dict[str, str] = {"op1_line_template_dedup": line_templates.OP1_SQL}
+ORACLES: dict[str, str] = {"op1_line_template_dedup": line_templates.OP1_SQL, "op1_every_line_dedup": line_templates.OP1_EVERY_SQL}
