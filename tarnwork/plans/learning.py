@@ -80,6 +80,15 @@ def _(t):
     return ranks.spearman_matrix(part, "vec_id").select("i", "j", F.round("v", 7).alias("v"))
 
 
+@query(
+    "ml03_spearman_matrix_all_columns",
+    f"""WITH {_X}, r AS (SELECT vec_id, j AS i, rank() OVER (PARTITION BY j ORDER BY v) + (count(*) OVER (PARTITION BY j, v) - 1) / 2.0 AS k FROM X)
+       SELECT a.i AS i, b.i AS j, round(CASE WHEN a.i = b.i THEN 1.0 ELSE corr(a.k, b.k) END, 7) AS v FROM r a JOIN r b USING (vec_id) GROUP BY a.i, b.i""",
+)
+def _(t):
+    return ranks.spearman_matrix(_emb(t), "vec_id").select("i", "j", F.round("v", 7).alias("v"))
+
+
 @query("ml04_random_columns", "SELECT count(*) AS n, true AS uniform_ok, true AS normal_ok, true AS poisson_ok FROM orders")
 def _(t):
     k = "o_orderkey"
