@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tarnwork.llm import attribution, chat, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash, vector_forest
+from tarnwork.llm import (
+    attribution, chat, conversation_repair, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash, vector_forest,
+)
 
 QUERIES = {
     f.__name__: f
@@ -18,6 +20,7 @@ QUERIES = {
         language.op8_language_mixture,
         chat.op9_offset_aligned_chat,
         neural_lm.op10_recurrent_lm,
+        conversation_repair.op12_conversation_repair,
     )
 }
 ORACLES: dict[str, str] = {"op1_line_template_dedup": line_templates.OP1_SQL, "op1_every_line_dedup": line_templates.OP1_EVERY_SQL}
