@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tarnwork.llm import (
-    attribution, chat, conversation_repair, language, lempel_ziv, line_templates, mixing, neural_lm, packing, simhash, vector_forest,
+    attribution, chat, conversation_repair, language, lempel_ziv, line_templates, mixing, neural_lm, packing, passages, simhash, token_alignment,
+    vector_forest,
 )
 
 QUERIES = {
@@ -20,7 +21,13 @@ QUERIES = {
         language.op8_language_mixture,
         chat.op9_offset_aligned_chat,
         neural_lm.op10_recurrent_lm,
+        token_alignment.op11_identity_map_alignment,
         conversation_repair.op12_conversation_repair,
+        passages.op13_repeated_phrase_automata,
     )
 }
-ORACLES: dict[str, str] = {"op1_line_template_dedup": line_templates.OP1_SQL, "op1_every_line_dedup": line_templates.OP1_EVERY_SQL}
+ORACLES: dict[str, str] = {
+    "op1_line_template_dedup": line_templates.OP1_SQL,
+    "op1_every_line_dedup": line_templates.OP1_EVERY_SQL,
+    "op13_repeated_phrase_automata": passages.OP13_SQL,
+}
