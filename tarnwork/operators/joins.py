@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.session import materialize
+
+BLOCK_ROWS = 20_000  # rows of a side that meet in one cell of a block join
+MOST_CELLS = 1 << 14  # cells up to which each is a partition of its own
+
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Size check that reads no more than ``rows`` + 1 rows."""
@@ -77,3 +84,58 @@ def keep_unmatched_bag(left: DataFrame, right: DataFrame) -> DataFrame:
     for i, c in enumerate(columns):
         condition = condition & F.col(c).eqNullSafe(F.col(f"_r{i}"))
     return left.join(other, condition, "left_anti")
+
+
+def _numbered(df: DataFrame, rows: int, label: str) -> tuple[DataFrame, int]:
+    """The rows written once with an ``_id`` and a ``_block`` of about ``rows`` rows, and the number of blocks."""
+    kept = materialize(df.withColumn("_id", F.monotonically_increasing_id()), label)
+    blocks = max(1, -(-kept.count() // rows))
+    # Ids run on from 0 in every partition; the partition's number staggers where it begins.
+    at = F.col("_id") + F.shiftright("_id", 33)
+    return kept.withColumn("_block", F.pmod(at, F.lit(blocks)).cast("int")), blocks
+
+
+def block_join(
+    left: DataFrame, right: DataFrame, on: Callable[[Callable[[str], Column], Callable[[str], Column]], Column], how: str = "inner",
+    rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Join of two large sides on any condition: inner, left, right or full; the sides' column names differ.
+
+    ``on`` is called with two functions that give a column of the left and of
+    the right side by name.  The rows of both sides are cut into blocks of
+    about ``rows`` rows, and every pair of blocks is a cell, so each left row
+    is copied once for each right block and each right row once for each
+    left block.  A cell is sorted and joined by itself, at most ``rows``
+    squared comparisons and no more than ``rows`` rows of a side in memory;
+    neither side is broadcast, nor has to be small.
+
+    For the outer types each cell's pairs flag the rows that met another; a
+    row that no cell has flagged is added with nulls.  A condition that is
+    null counts as false.  All pairs are compared: with equal keys or bands
+    use an equi join or ``band_join``, which compare fewer.
+    """
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError("how is inner, left, right or full")
+    if clash := set(map(str.lower, left.columns)) & set(map(str.lower, right.columns)):
+        raise ValueError(f"both sides have {sorted(clash)}")
+    a, n = _numbered(left, rows, "left-blocks")
+    b, m = _numbered(right, rows, "right-blocks")
+    cells = min(n * m, MOST_CELLS)
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    a = a.withColumnsRenamed({"_id": "_left", "_block": "_row"}).withColumn("_column", every(m))
+    b = b.withColumnsRenamed({"_id": "_right", "_block": "_column"}).withColumn("_row", every(n))
+    dealt_a, dealt_b = (side.repartition(cells, "_row", "_column").alias(name) for side, name in ((a, "a"), (b, "b")))
+    same = (F.col("a._row") == F.col("b._row")) & (F.col("a._column") == F.col("b._column"))
+    met = dealt_a.join(dealt_b.hint("merge"), same & on(lambda name: F.col(f"a.`{name}`"), lambda name: F.col(f"b.`{name}`")))
+    pairs = met.select("_left", "_right", *[f"a.`{x}`" for x in left.columns], *[f"b.`{x}`" for x in right.columns])
+    if how == "inner":
+        return pairs.drop("_left", "_right")
+    pairs = materialize(pairs, "cells")
+    out = pairs.drop("_left", "_right")
+    for side, key, numbered in (("left", "_left", a), ("right", "_right", b)):
+        if how in (side, "full"):
+            once = numbered.where(F.col("_column" if side == "left" else "_row") == 0).drop("_row", "_column")
+            # No distinct: one left flag is enough for an anti join, and a hot row's flags may be split.
+            alone = once.join(pairs.select(key), key, "left_anti").drop(key)
+            out = out.unionByName(alone, allowMissingColumns=True)
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.catalog import query
 from tarnwork.operators.joins import (
-    band_join, exists_less_than, full_outer, keep_unmatched_bag, small_side_join,
+    band_join, block_join, exists_less_than, full_outer, keep_unmatched_bag, small_side_join,
 )
 from tarnwork.operators.ordering import chunked_lists
 
@@ -116,6 +116,30 @@ def _(t):
     return small_side_join(t.supplier, t.region, on, "left", max_rows=1000).select("s_suppkey", "r_regionkey")
 
 
+_NEAR = "l_extendedprice > o_totalprice * 0.9999 AND l_extendedprice < o_totalprice * 1.0001 AND l_shipdate < o_orderdate AND l_suppkey <> o_custkey"
+
+
+def _near(a, b):
+    price, paid = a("l_extendedprice"), b("o_totalprice")
+    return (price > paid * 0.9999) & (price < paid * 1.0001) & (a("l_shipdate") < b("o_orderdate")) & (a("l_suppkey") != b("o_custkey"))
+
+
+def _blocks(how):
+    @query(
+        f"join11_blocks_{how}",
+        f"SELECT l_orderkey, l_linenumber, o_orderkey FROM (SELECT * FROM lineitem) l {how.upper()} JOIN orders o ON {_NEAR}",
+    )
+    def _(t):
+        # Both sides are large and no keys are equal: every block of lines meets every block of orders.
+        lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_suppkey")
+        orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_custkey")
+        return block_join(lines, orders, _near, how).select("l_orderkey", "l_linenumber", "o_orderkey")
+
+
+for _how in ("inner", "left", "right", "full"):
+    _blocks(_how)
+
+
 @query(
     "join11_interval_theta",
     """SELECT o_orderkey, p_partkey FROM orders JOIN

@@ -16,9 +16,12 @@ from tarnwork.session import fresh_dir, materialize
 from tarnwork.sources.text import labelled_lines, parse_labelled
 from tarnwork.streaming import sketches
 from tarnwork.streaming.inputs import event_time, parquet_stream, queued
+from tarnwork.streaming.keyed import EveryBatch, State, keyed_table
+from tarnwork.streaming.outer import END, is_ending, outer_join_table
+from tarnwork.streaming.panes import least, rows, sliding_table, total
 from tarnwork.streaming.sinks import append_table, batch_table, run, upsert_table
 from tarnwork.streaming.state import running_maximum, update_state_by_key
-from tarnwork.streaming.windows import grouped_lists, window_start, windowed, windowed_table, with_empty_windows
+from tarnwork.streaming.windows import grouped_lists, window_start, windowed_table, with_empty_windows
 
 c = F.col
 HOUR, DAY = 3600, 86400
@@ -43,10 +46,15 @@ def _timed(t):
     return event_time(_events(t), "ts")
 
 
+def _third(column: str = "ts"):
+    """0 before the 11th of January 2024, 1 before the 21st, else 2; events without a time come last."""
+    before = lambda day: c(column) < F.expr(f"timestamp_ntz '2024-01-{day} 00:00:00'")
+    return F.when(before(11), 0).when(before(21), 1).otherwise(2)
+
+
 def _thirds(t):
-    """The events table as a stream of three consecutive micro-batches."""
-    cut = lambda lo, hi: t.events.where(f"ts >= timestamp_ntz '2024-01-{lo} 00:00:00' AND ts < timestamp_ntz '{hi} 00:00:00'")
-    return queued([cut("01", "2024-01-11"), cut("11", "2024-01-21"), cut("21", "2025-01-01")])
+    """The whole events table as a stream of three consecutive micro-batches."""
+    return queued([t.events.where(_third() == i) for i in range(3)])
 
 
 @query("str01_map", "SELECT event_id, value * 2 AS v FROM events")
@@ -144,18 +152,18 @@ def _(t):
 
 @query("str15_reduce_by_window", f"SELECT start, round(sum(value), 2) AS total FROM {_slides(12 * HOUR, 4 * HOUR)} GROUP BY 1")
 def _(t):
-    w = windowed_table(_timed(t), "12 hours", "4 hours", [], {"total": F.sum("value")})
+    w = sliding_table(_timed(t), 12 * HOUR, 4 * HOUR, [], {"total": total("value")})
     return w.select("start", F.round("total", 2).alias("total"))
 
 
 @query("str16_count_by_window", f"SELECT start, count(*) AS n FROM {_slides(6 * HOUR, 3 * HOUR)} GROUP BY 1")
 def _(t):
-    return windowed_table(_timed(t), "6 hours", "3 hours", [], {"n": F.count("*")})
+    return sliding_table(_timed(t), 6 * HOUR, 3 * HOUR, [], {"n": rows()}, inverse=True)
 
 
 @query("str17_count_by_value_and_window", f"SELECT start, event_type, count(*) AS n FROM {_slides(24 * HOUR, 12 * HOUR)} GROUP BY 1, 2")
 def _(t):
-    return windowed_table(_timed(t), "24 hours", "12 hours", ["event_type"], {"n": F.count("*")})
+    return sliding_table(_timed(t), 24 * HOUR, 12 * HOUR, ["event_type"], {"n": rows()}, inverse=True)
 
 
 @query("str18_slice", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-06 12:00:00'")
@@ -204,12 +212,28 @@ def _(t):
 
 @query("str24_reduce_by_key_and_window", f"SELECT start, event_type, min(value) AS low FROM {_slides(8 * HOUR, 4 * HOUR)} GROUP BY 1, 2")
 def _(t):
-    return windowed_table(_timed(t), "8 hours", "4 hours", ["event_type"], {"low": F.min("value")})
+    return sliding_table(_timed(t), 8 * HOUR, 4 * HOUR, ["event_type"], {"low": least("value")})
 
 
 @query("str25_reduce_with_key_filter", f"SELECT start, user_id, count(*) AS n FROM {_slides(2 * DAY, DAY)} GROUP BY 1, 2 HAVING count(*) > 3")
 def _(t):
-    return windowed_table(_timed(t), "2 days", "1 day", ["user_id"], {"n": F.count("*")}).where("n > 3")
+    return sliding_table(_timed(t), 2 * DAY, DAY, ["user_id"], {"n": rows()}, inverse=True, keep=c("n") > 3)
+
+
+@query(
+    "str25_inverse_day_by_hour",
+    f"SELECT start, event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, count(*) FILTER (WHERE value > 20) AS dear FROM {_slides(DAY, HOUR)} GROUP BY 1, 2",
+)
+def _(t):
+    # 24 windows hold each event; it is aggregated once and makes no more than two rows of its pane.
+    reduces = {"n": rows(), "ids": total("event_id"), "dear": rows(c("value") > 20)}
+    return sliding_table(_timed(t), DAY, HOUR, ["event_type"], reduces, inverse=True)
+
+
+@query("str25_panes_of_unequal_steps", f"SELECT start, event_type, min(value) AS low, count(*) AS n FROM (SELECT {_SEC} // 7200 * 7200 - i * 7200 AS start, * FROM events, range(3) r(i)) w WHERE {_SEC} >= start AND {_SEC} < start + 18000 GROUP BY 1, 2")
+def _(t):
+    # Five hours every two hours: panes of one hour.
+    return sliding_table(_timed(t), 5 * HOUR, 2 * HOUR, ["event_type"], {"low": least("value"), "n": rows()})
 
 
 @query(
@@ -233,6 +257,47 @@ def _(t):
     return upsert_table(running_maximum(stream, "user_id", "value", "long"), ["user_id"])
 
 
+class _Visits(EveryBatch):
+    """Rows, types and batches of a user in a row; a batch without any forgets the user."""
+
+    values, lists, maps = {"n": "n long"}, {"sizes": "size long"}, {"types": ("type string", "n long")}
+
+    def touch(self, key: tuple, rows: Iterator[pd.DataFrame], state: State) -> tuple[pd.DataFrame | None, bool]:
+        size = 0
+        for pdf in rows:
+            size += len(pdf)
+            for kind, n in pdf["event_type"].value_counts().items():
+                state.set("types", (kind,), int(n) + state.look("types", (kind,), (0,))[0])
+        n = state.get("n", (0,))[0] + size
+        state.put("n", n)
+        state.append("sizes", size)
+        sizes = [x for (x,) in state.items("sizes")]
+        out = {"user_id": key[0], "n": n, "batches": len(sizes), "largest": max(sizes), "types": len(list(state.items("types"))), "here": size > 0}
+        return pd.DataFrame([out]), size > 0
+
+
+@query(
+    "str27_keyed_state_idle_keys",
+    """WITH p AS (SELECT user_id, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch, event_type FROM events),
+            s AS (SELECT user_id, batch, count(*) AS size FROM p GROUP BY 1, 2),
+            f AS (SELECT user_id, batch, size, batch - row_number() OVER (PARTITION BY user_id ORDER BY batch) AS run FROM s),
+            r AS (SELECT user_id, run, min(batch) AS a, max(batch) AS z, sum(size)::BIGINT AS n, count(*) AS batches, max(size) AS largest FROM f GROUP BY 1, 2),
+            k AS (SELECT r.user_id, r.a, count(DISTINCT p.event_type) AS types FROM r JOIN p ON p.user_id = r.user_id AND p.batch BETWEEN a AND z GROUP BY 1, 2)
+       SELECT r.user_id, z::INTEGER AS last_batch, n, batches, largest, types FROM r JOIN k ON k.user_id = r.user_id AND k.a = r.a
+       UNION ALL SELECT r.user_id, z + 1, n, batches + 1, largest, types FROM r JOIN k ON k.user_id = r.user_id AND k.a = r.a WHERE z < 2""",
+)
+def _(t):
+    # The last word on every run of batches: in its last batch, and in the batch after it that found the user idle.
+    stream = _thirds(t).select("user_id", "event_type")
+    told = keyed_table(stream, ["user_id"], _Visits(), "user_id long, n long, batches long, largest long, types long, here boolean")
+    return materialize(told, "visits").transform(_last_words)
+
+
+def _last_words(told):
+    after = told.where("here").select("user_id", (c("batch") - 1).alias("batch"))
+    return told.join(after, ["user_id", "batch"], "left_anti").select("user_id", c("batch").alias("last_batch"), "n", "batches", "largest", "types")
+
+
 @query("str28_map_values", "SELECT user_id AS k, unnest([value, -value]) AS v FROM events")
 def _(t):
     pairs = _events(t).select(c("user_id").alias("k"), c("value").alias("v"))
@@ -274,10 +339,15 @@ def _join(t):
     return append_table(left.join(right, ["w", "user_id"]).select(window_start("w"), "user_id", "view_id", "buy_id"))
 
 
-def _unmatched(side, joined, name):
-    """Rows of one side, read to the same end, that the join has not used."""
-    every = append_table(side.select(window_start("w"), "user_id", name))
-    return every.join(joined.select(c(name).alias("used")), c(name) == c("used"), "left_anti")
+def _outer(t, how):
+    def side(stream, kind, name):
+        kept = stream.where((c("event_type") == kind) | is_ending("ts"))
+        return kept.select(F.window("ts", "1 day").alias("w"), "user_id", c("event_id").alias(name))
+
+    def join(left, right):
+        return side(left, "view", "view_id").join(side(right, "purchase", "buy_id"), ["w", "user_id"], how).select(window_start("w"), "user_id", "view_id", "buy_id")
+
+    return outer_join_table(_timed(t), _timed(t), join, c("start") >= F.unix_timestamp(F.lit(END)))
 
 
 @query("str30_join", f"WITH {_SIDES} SELECT l.start AS start, l.user_id AS user_id, view_id, buy_id FROM l JOIN r ON l.start = r.start AND l.user_id = r.user_id")
@@ -287,16 +357,17 @@ def _(t):
 
 @query("str31_left_outer_join", f"WITH {_SIDES} SELECT l.start AS start, l.user_id AS user_id, view_id, buy_id FROM l LEFT JOIN r ON l.start = r.start AND l.user_id = r.user_id")
 def _(t):
-    joined = _join(t)
-    alone = _unmatched(_sides(t)[0], joined, "view_id")
-    return joined.unionByName(alone, allowMissingColumns=True)
+    return _outer(t, "left")
 
 
 @query("str32_right_outer_join", f"WITH {_SIDES} SELECT r.start AS start, r.user_id AS user_id, view_id, buy_id FROM l RIGHT JOIN r ON l.start = r.start AND l.user_id = r.user_id")
 def _(t):
-    joined = _join(t)
-    alone = _unmatched(_sides(t)[1], joined, "buy_id")
-    return joined.unionByName(alone, allowMissingColumns=True)
+    return _outer(t, "right")
+
+
+@query("str32_full_outer_join", f"WITH {_SIDES} SELECT coalesce(l.start, r.start) AS start, coalesce(l.user_id, r.user_id) AS user_id, view_id, buy_id FROM l FULL JOIN r ON l.start = r.start AND l.user_id = r.user_id")
+def _(t):
+    return _outer(t, "full")
 
 
 @query("str33_stream_static_join", "SELECT event_id, c_mktsegment FROM events JOIN customer ON user_id = c_custkey")
@@ -340,10 +411,10 @@ def _(t):
         counts = source.groupBy("user_id").agg(F.count("*").alias("n"))
         run(counts, "update", lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"), checkpoint=state)
 
-    t.events.where("event_id % 2 = 0").write.parquet(f"{inbox}/a")
-    go()
-    t.events.where("event_id % 2 = 1").write.parquet(f"{inbox}/b")
-    go()
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for i, name in enumerate("ab"):
+        t.events.where(half == i).write.parquet(f"{inbox}/{name}")
+        go()
     changes = t.spark.read.option("basePath", out).parquet(f"{out}/batch=*")
     return changes.groupBy("user_id").agg(F.max_by("n", "batch").alias("n"))
 
@@ -388,13 +459,13 @@ def _(t):
 def _(t):
     from pyspark.sql import Window
 
-    def top(length, seconds):
-        counts = windowed_table(_timed(t), length, "1 day", ["user_id"], {"n": F.count("*")})
+    def top(seconds):
+        counts = sliding_table(_timed(t), seconds, DAY, ["user_id"], {"n": rows()}, inverse=True)
         place = F.row_number().over(Window.partitionBy("start").orderBy(F.desc("n"), "user_id"))
         # place <= 5 is pushed below the shuffle as a group limit.
         return counts.withColumn("place", place).where("place <= 5").select(F.lit(seconds).cast("long").alias("length"), "start", "user_id", "n")
 
-    return top("6 days", 6 * DAY).union(top("1 day", DAY))
+    return top(6 * DAY).union(top(DAY))
 
 
 @query("str42_page_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -404,13 +475,13 @@ def _(t):
 
 @query("str42_sliding_page_counts", f"SELECT start, event_type, count(*) AS n FROM {_slides(10 * HOUR, 2 * HOUR)} GROUP BY 1, 2")
 def _(t):
-    return windowed_table(_timed(t), "10 hours", "2 hours", ["event_type"], {"n": F.count("*")})
+    return sliding_table(_timed(t), 10 * HOUR, 2 * HOUR, ["event_type"], {"n": rows()}, inverse=True)
 
 
 @query("str42_error_rate", f"SELECT start, user_id % 10 AS zip, count(*) AS n, round(count(*) FILTER (WHERE event_type = 'error') / count(*), 6) AS rate FROM {_slides(3 * DAY, DAY)} GROUP BY 1, 2")
 def _(t):
     zipped = _timed(t).withColumn("zip", c("user_id") % 10)
-    w = windowed_table(zipped, "3 days", "1 day", ["zip"], {"n": F.count("*"), "bad": F.count_if(c("event_type") == "error")})
+    w = sliding_table(zipped, 3 * DAY, DAY, ["zip"], {"n": rows(), "bad": rows(c("event_type") == "error")}, inverse=True)
     return w.select("start", "zip", "n", F.round(c("bad") / c("n"), 6).alias("rate"))
 
 

@@ -27,14 +27,20 @@ def event_time(df: DataFrame, column: str = "ts", delay: str | None = None) -> D
     return timed.withWatermark(column, delay) if delay else timed
 
 
-def queued(frames: list[DataFrame], files_per_batch: int = 1) -> DataFrame:
-    """Tables as consecutive micro-batches of one stream, in the order given.
+def queued(frames: list[DataFrame], files_per_batch: int | None = None) -> DataFrame:
+    """Tables as consecutive micro-batches of one stream, in the order given; one trigger for each.
 
     The file source takes files by age, so the batches are written one after
-    the other, each as exactly ``files_per_batch`` files.
+    the other, each as exactly ``files_per_batch`` files: by default as many
+    as the table with most partitions has, so that each is written and read
+    by as many tasks.  A table of fewer rows is filled up with empty files.
     """
     spark, schema = frames[0].sparkSession, frames[0].schema
+    files = files_per_batch or max(df.rdd.getNumPartitions() for df in frames)
     path = fresh_dir(spark, "queue")
     for i, df in enumerate(frames):
-        df.repartition(files_per_batch).write.parquet(f"{path}/part={i:05d}")
-    return parquet_stream(spark, path, "part=*", schema, files_per_batch)
+        part = f"{path}/part={i:05d}"
+        df.repartition(files).write.parquet(part)
+        for _ in range(files - len(spark.read.schema(schema).parquet(part).inputFiles())):
+            spark.createDataFrame([], schema).write.mode("append").parquet(part)
+    return parquet_stream(spark, path, "part=*", schema, files)

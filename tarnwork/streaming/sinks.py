@@ -16,12 +16,16 @@ from tarnwork.session import fresh_dir
 _TRAILING = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def run(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:
-    """Drive a stream over everything available now, one call per micro-batch."""
+def run(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], None], checkpoint: str | None = None, idle: bool = True) -> None:
+    """Drive a stream over everything available now, one call per micro-batch.
+
+    Without ``idle`` no batch comes that has no data: timers that are set
+    anew in every batch would call for another for ever.
+    """
     spark = stream.sparkSession
     trailing = spark.conf.get(_TRAILING)
-    if mode == "update":
-        # A trailing batch without data would only clear state, which ends with the run.
+    if mode == "update" or not idle:
+        # In update mode a trailing batch without data would only clear state, which ends with the run.
         spark.conf.set(_TRAILING, "false")
     query = (
         stream.writeStream.outputMode(mode)
@@ -49,10 +53,10 @@ def append_table(stream: DataFrame, label: str = "appended", checkpoint: str | N
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def _begun(like: DataFrame, label: str) -> str:
+def _begun(like: DataFrame, label: str, path: str | None = None) -> str:
     """A folder for batches that holds one without rows, so that it can be read when no other comes."""
-    path = fresh_dir(like.sparkSession, label)
-    like.write.parquet(f"{path}/batch=-1")
+    path = path or fresh_dir(like.sparkSession, label)
+    like.write.mode("overwrite").parquet(f"{path}/batch=-1")
     return path
 
 
@@ -60,15 +64,16 @@ def _no_rows(stream: DataFrame) -> DataFrame:
     return stream.sparkSession.createDataFrame([], stream.schema)
 
 
-def batch_table(stream: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str | None = None) -> DataFrame:
-    """One output slice per micro-batch, with its number in ``batch``."""
+def batch_table(stream: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str | None = None,
+                path: str | None = None, idle: bool = True) -> DataFrame:
+    """One output slice per micro-batch, with its number in ``batch``; a run that goes on from a checkpoint gets the same ``path``."""
     spark = stream.sparkSession
-    path = _begun(transform(_no_rows(stream)).limit(0), label)
+    path = _begun(transform(_no_rows(stream)).limit(0), label, path)
 
     def write(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    run(stream, "append", write, checkpoint)
+    run(stream, "append", write, checkpoint, idle)
     return spark.read.option("basePath", path).parquet(f"{path}/batch=*")
 
 
