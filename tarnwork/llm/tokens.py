@@ -21,6 +21,8 @@ import regex
 
 KEEP = 400_000  # runs remembered by one Python worker
 WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+#: Runs beyond which tiktoken's pattern (white space) or merges (others) are left to the library, with the word after them.
+_LONG_RUN = re.compile(r"(?<![^\S\x1c-\x1f])([^\S\x1c-\x1f]{5000,}\S*|[^\S\x1c-\x1f]\S{50000,})")
 
 #: Fixed values of the word vocabulary: how it splits a lower-cased text, and the mark of a run's end.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -111,13 +113,32 @@ class ByteEncoder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(i) for token, i in map(bytes.split, f)}
         self._encoding = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._library = None  # read when a text needs it
         self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self._bytes[i] = len(token)
 
+    def ids(self, text: str) -> np.ndarray:
+        """Tokens of the text.
+
+        No token goes on from a sign to white space, so a long run of white
+        space, or a long word, can be cut out in front of its white space and
+        encoded by the library, which stays with any length.
+        """
+        encode = self._encoding.encode_ordinary
+        parts = _LONG_RUN.split(text) if len(text) > 5000 else [text]
+        ids = [encode(part) if i % 2 == 0 else self._by_library(part) for i, part in enumerate(parts)]
+        return np.array(ids[0] if len(ids) == 1 else [i for some in ids for i in some], np.int64)
+
+    def _by_library(self, text: str) -> list[int]:
+        if self._library is None:
+            self._library = library(vocabulary(BYTE_BPE))
+            self._library.encode_special_tokens = True
+        return self._library.encode(text, add_special_tokens=False).ids
+
     def ends(self, text: str) -> np.ndarray:
         """Where each token ends, in bytes of the UTF-8 text."""
-        return np.cumsum(self._bytes[np.array(self._encoding.encode_ordinary(text), np.int64)])
+        return np.cumsum(self._bytes[self.ids(text)])
 
 
 @lru_cache(maxsize=2)

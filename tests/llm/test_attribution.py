@@ -67,3 +67,26 @@ def test_nulls_and_no_rows(spark):
     assert attribution.token_counts(df.where(F.lit(False))).collect() == []
     with pytest.raises(ValueError):
         attribution.token_counts(df, rule="most")
+
+
+@pytest.mark.parametrize("text", [
+    "a" + " " * 2_000_000 + "x", "a b" + "\n" * 2_000_000, "\x1c" + " \n\t" * 300_000 + "x  y" + "\n" * 6000 + "'s", "x " + "!" * 2_000_000 + " y",
+    "one " + "q" * 500_000 + " two", " " * 4999 + "a" + " " * 5000 + "b" + " " * 5001 + "c\x1d" + " " * 9000, "日" * 60_000 + " é" * 9000,
+])
+def test_long_runs_end_where_the_library_ends_them(text):
+    from tarnwork.llm.tokens import BYTE_BPE, library
+
+    plain = library(vocabulary(BYTE_BPE))
+    plain.encode_special_tokens = True
+    tool = ByteEncoder(vocabulary(BYTE_RANKS))
+    want = plain.encode(text, add_special_tokens=False).ids
+    assert tool.ids(text).tolist() == want
+    ends = tool.ends(text)
+    assert len(ends) == len(want) and ends[-1] == len(text.encode())
+
+
+def test_a_text_of_white_space_is_counted(spark):
+    docs = spark.createDataFrame([(1, "a" + " " * 1_000_000 + "x", "en", "s"), (1, "a", "en", "s"), (1, "a", None, "s")], "doc_id long, text string, lang string, source string")
+    got = attribution.token_counts(docs.select("*", F.lit(1).alias("Doc_Id_2"), F.lit(2).alias("N_TOKENS"))).collect()
+    assert sorted(r.n_tokens for r in got)[-1] > 1_000_000 and len(got) == 3
+    assert all(r.n_tokens == r.separator_tokens + r.source_tokens + r.lang_tokens + r.text_tokens for r in got)
