@@ -40,26 +40,18 @@ def _order(doc_id: Column) -> Column:
     return F.coalesce(doc_id, F.lit(2**63 - 1))
 
 
-def recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least_words: int = LEAST_WORDS, lengths: str = "long") -> DataFrame:
+def recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc, row, dropped): the numbers of the lines whose template a smaller id has too; rows without are missing.
 
     ``row`` is the hash of the text, for ids that occur with several texts.
-    ``lengths`` are those of ``drop_recurring_lines``.
     """
     if least_words <= lead:
         raise ValueError("least_words is over lead")
-    if lengths not in ("long", "short", "all"):
-        raise ValueError("lengths is long, short or all")
     rows = pick(docs, doc_id="long", text="string").select(
         _order(c("doc_id")).alias("doc"), F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("line", "of")
     )
-    n, is_long = F.size("words"), F.size("words") >= least_words
-    taken, templates = {
-        "long": (is_long, _templates(c("words"), lead, bands)),
-        "short": ((n > 0) & ~is_long, _whole(c("words"))),
-        "all": (n > 0, F.when(is_long, _templates(c("words"), lead, bands)).otherwise(_whole(c("words")))),
-    }[lengths]
-    words = rows.select("doc", "row", "line", _words(c("of")).alias("words")).where(taken)
+    templates = F.when(F.size("words") >= least_words, _templates(c("words"), lead, bands)).otherwise(_whole(c("words")))
+    words = rows.select("doc", "row", "line", _words(c("of")).alias("words")).where(F.size("words") > 0)
     lines = materialize(words.select("doc", "row", "line", templates.alias("templates")), "lines")
     each = lines.select("doc", "row", "line", F.explode("templates").alias("template"))
     shared = materialize(
@@ -70,8 +62,7 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least
     return again.groupBy("doc", "row").agg(F.collect_set("line").alias("dropped"))
 
 
-def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least_words: int = LEAST_WORDS,
-                         keep: tuple[str, ...] = (), lengths: str = "long") -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS, least_words: int = LEAST_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_lines, n_dropped, text, ``keep``) of every row of ``docs``, the text without lines of recurring templates.
 
     A line's place in the template tree is its number of words and its first
@@ -83,9 +74,7 @@ def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS,
     templates and goes if one of them recurs.
 
     A line of 1 to ``least_words`` - 1 words has one template, its number of
-    words and all of them, none open.  ``lengths`` says which lines may go:
-    "long" keeps these short ones, "short" keeps the others, "all" keeps
-    neither; lines without a word always stay.
+    words and all of them, none open.  Lines without a word always stay.
 
     Leaves are hashes that are aggregated, never lists of lines, so a template
     of a third of all lines is one row of each task.  A null text stays null;
@@ -95,7 +84,7 @@ def drop_recurring_lines(docs: DataFrame, lead: int = LEAD, bands: int = BANDS,
     rows = pick(docs, doc_id="long", text="string", **{n: DOCUMENT[n] for n in keep}).withColumns(
         {"doc": _order(c("doc_id")), "row": F.xxhash64("text")}
     )
-    gone = recurring_lines(docs, lead, bands, least_words, lengths)
+    gone = recurring_lines(docs, lead, bands, least_words)
     lines = F.split("text", "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), c("dropped")), lambda i: F.get(lines, i))
     return rows.join(gone, ["doc", "row"], "left").select(
@@ -111,34 +100,7 @@ def op1_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(table(spark, sf_dir, "documents"))
 
 
-def op1_every_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op1_line_template_dedup, and lines of fewer than LEAST_WORDS words go too if they recur."""
-    return drop_recurring_lines(table(spark, sf_dir, "documents"), lengths="all")
-
-
 OP1_SQL = f"""
-WITH lines AS (
-  SELECT doc_id, text, ls, unnest(range(len(ls))) AS line FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents)
-), words AS (
-  SELECT doc_id, text, line, list_filter(string_split_regex(regexp_replace(ls[line + 1], '{_WITH_DIGIT}', '{VARIABLE}', 'g'), '{SPACE}'), lambda x: x <> '') AS w
-  FROM lines
-), long_lines AS (
-  SELECT doc_id, text, line, w, len(w) AS n, ceil((len(w) - {LEAD}) / {BANDS}.0)::BIGINT AS width FROM words WHERE len(w) >= {LEAST_WORDS}
-), templates AS (
-  SELECT doc_id, text, line, j, [n::VARCHAR, j::VARCHAR] || w[1:{LEAD} + j * width] || ['|'] || w[{LEAD} + (j + 1) * width + 1:n] AS template
-  FROM (SELECT *, unnest(range({BANDS})) AS j FROM long_lines) WHERE n > {LEAD} + j * width
-), recurring AS (
-  SELECT template, min(doc_id) AS first FROM templates GROUP BY template HAVING min(doc_id) < max(doc_id)
-), gone AS (
-  SELECT doc_id, text, list(DISTINCT line) AS dropped FROM templates JOIN recurring USING (template) WHERE first < doc_id GROUP BY doc_id, text
-)
-SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(len(dropped), 0)::BIGINT AS n_dropped,
-  CASE WHEN dropped IS NULL THEN d.text ELSE array_to_string(
-    list_filter(string_split(d.text, chr(10)), lambda x, i: NOT list_contains(dropped, i - 1)), chr(10)) END AS text
-FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id AND d.text = g.text
-"""
-
-OP1_EVERY_SQL = f"""
 WITH lines AS (
   SELECT doc_id, text, ls, unnest(range(len(ls))) AS line FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents)
 ), words AS (

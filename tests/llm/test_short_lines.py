@@ -1,7 +1,4 @@
-"""Lines of one to four words: SQL over the whole table, a small table by hand, and what leaves the pipeline's stages."""
-
-import duckdb
-import pytest
+"""Lines of one to four words: a small table by hand, and what leaves the pipeline's stages."""
 
 import corpus_pipeline as cp
 from tarnwork.llm import line_templates as lt
@@ -11,22 +8,10 @@ DOCS = [(1, "All rights reserved.\nalpha beta gamma delta red five six\n\nPage 3
         (3, "all rights reserved.\nalpha beta gamma delta blue five six"), (4, None), (5, ""), (6, "Menu\nMenu\n \t"), (None, "Menu\nrights reserved.\nlast")]
 
 
-def test_every_line_against_sql(spark):
-    con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
-    want = sorted(con.execute(lt.OP1_EVERY_SQL).fetchall())
-    assert sorted(tuple(r) for r in lt.op1_every_line_dedup(spark, SF).collect()) == want
-    assert sum(r[2] for r in want) > sum(r[2] for r in con.execute(lt.OP1_SQL).fetchall())
-
-
 def test_short_lines_that_recur_go(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
-    short = {r.doc_id: r.text for r in lt.drop_recurring_lines(df, lengths="short").collect()}
-    assert short == dict(DOCS) | {2: "rights reserved.\n", None: "last"}
-    every = {r.doc_id: r.text for r in lt.drop_recurring_lines(df, lengths="all").collect()}
-    assert every == short | {3: "all rights reserved."}
-    with pytest.raises(ValueError):
-        lt.drop_recurring_lines(df, lengths="some")
+    got = {r.doc_id: r.text for r in lt.drop_recurring_lines(df).collect()}
+    assert got == dict(DOCS) | {2: "rights reserved.\n", 3: "all rights reserved.", None: "last"}
 
 
 def test_no_line_recurs_before_the_mix(spark, tmp_path):
