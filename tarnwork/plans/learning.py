@@ -14,8 +14,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tarnwork.catalog import query
-from tarnwork.ml import draws, matrix, metrics, ranks, text_features
+from tarnwork.ml import draws, lbfgs, matrix, metrics, naive_bayes, ranks, text_features
 from tarnwork.ml.gradient import descend, gradient
+from tarnwork.ml.inner_products import largest_products
 from tarnwork.ml.regression import fit_penalised
 from tarnwork.operators.sampling import folds
 from tarnwork.session import materialize
@@ -69,22 +70,12 @@ def _(t):
     return ranks.spearman(t.lineitem, "l_quantity", "l_extendedprice").select(F.round("spearman", 9).alias("spearman"))
 
 
-@query(
-    "ml03_spearman_matrix",
-    """WITH x AS (SELECT vec_id, unnest(range(16))::INTEGER AS i, unnest(embedding[1:16]) AS e FROM embeddings),
-            r AS (SELECT vec_id, i, rank() OVER (PARTITION BY i ORDER BY e) + (count(*) OVER (PARTITION BY i, e) - 1) / 2.0 AS k FROM x)
-       SELECT a.i AS i, b.i AS j, round(CASE WHEN a.i = b.i THEN 1.0 ELSE corr(a.k, b.k) END, 7) AS v FROM r a JOIN r b USING (vec_id) GROUP BY a.i, b.i""",
-)
-def _(t):
-    part = _emb(t).select("vec_id", F.slice("features", 1, 16).alias("features"))
-    return ranks.spearman_matrix(part, "vec_id").select("i", "j", F.round("v", 7).alias("v"))
+_RANK_MATRIX = f"""WITH {_X}, r AS (SELECT vec_id, j AS i, rank() OVER (PARTITION BY j ORDER BY v) + (count(*) OVER (PARTITION BY j, v) - 1) / 2.0 AS k FROM X)
+       SELECT a.i AS i, b.i AS j, round(CASE WHEN a.i = b.i THEN 1.0 ELSE corr(a.k, b.k) END, 7) AS v FROM r a JOIN r b USING (vec_id) GROUP BY a.i, b.i"""
 
 
-@query(
-    "ml03_spearman_matrix_all_columns",
-    f"""WITH {_X}, r AS (SELECT vec_id, j AS i, rank() OVER (PARTITION BY j ORDER BY v) + (count(*) OVER (PARTITION BY j, v) - 1) / 2.0 AS k FROM X)
-       SELECT a.i AS i, b.i AS j, round(CASE WHEN a.i = b.i THEN 1.0 ELSE corr(a.k, b.k) END, 7) AS v FROM r a JOIN r b USING (vec_id) GROUP BY a.i, b.i""",
-)
+@query("ml03_spearman_matrix", _RANK_MATRIX)
+@query("ml03_spearman_matrix_all_columns", _RANK_MATRIX)  # an earlier name of the same
 def _(t):
     return ranks.spearman_matrix(_emb(t), "vec_id").select("i", "j", F.round("v", 7).alias("v"))
 
@@ -254,15 +245,28 @@ def _(t):
     return d.agg(F.count("*").alias("pairs"), (F.max("gap") < 1e-4).alias("is_dot_product"))
 
 
-@query("ml18_recommend_products", "SELECT 10::BIGINT AS n, true AS descending_top FROM lineitem LIMIT 1")
+@query("ml18_recommend_products", "SELECT count(DISTINCT l_suppkey) * 10 AS rows, count(DISTINCT l_suppkey) AS users, true AS is_best FROM lineitem")
 def _(t):
-    # One user's factor is a literal; items are scored in one pass and merged as a top-n.
+    # Ten parts for every supplier; the best of each is the largest of all its products.
     model = _als(t)
-    factor = [float(x) for x in model.userFactors.where("id = 3").head()["features"]]
-    scored = model.itemFactors.select("id", _dot(c("features"), F.array(*[F.lit(x) for x in factor])).alias("score"))
-    top = scored.orderBy(F.desc("score"), "id").limit(10)
-    best = scored.agg(F.max("score")).scalar()
-    return top.agg(F.count("*").alias("n"), (F.max("score") == best).alias("descending_top"))
+    users, items = (materialize(f.select("id", "features"), "factors") for f in (model.userFactors, model.itemFactors))
+    top = materialize(largest_products(users, items, 10), "recommended")
+    best = users.crossJoin(F.broadcast(items.select(c("id").alias("item"), c("features").alias("v")).limit(1)))
+    held = top.where("place = 1").join(best.select(c("id").alias("user"), _dot(c("features"), c("v")).alias("any")), "user")
+    falls = top.alias("a").join(top.alias("b"), (c("a.user") == c("b.user")) & (c("b.place") == c("a.place") + 1)).agg(F.min(c("a.score") - c("b.score"))).scalar()
+    return top.agg(F.count("*").alias("rows"), F.count_distinct("user").alias("users"), (F.lit(falls) >= 0).alias("falling")).select(
+        "rows", "users", (c("falling") & (held.agg(F.min(c("score") - c("any"))).scalar() > -1e-6)).alias("is_best")
+    )
+
+
+@query(
+    "ml18_recommend_for_all_users",
+    """WITH s AS (SELECT a.vec_id AS user, b.vec_id AS item, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score FROM embeddings a, embeddings b)
+       SELECT user, place::INTEGER AS place, item, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY user ORDER BY score DESC, item) AS place FROM s) WHERE place <= 10""",
+)
+def _(t):
+    vectors = t.embeddings.select(c("vec_id").alias("id"), c("embedding").alias("features"))
+    return largest_products(vectors, vectors, 10).select("user", "place", "item", F.round("score", 6).alias("score"))
 
 
 def _coefficients(t, model, places=4):
@@ -341,32 +345,27 @@ def _(t):
     return rows.agg(F.lit(round(w[0], 6)).alias("a"), F.lit(round(w[1], 6)).alias("b"), F.count_if(margin > 0).alias("separated"))
 
 
-_LETTERS = ("e", "n", "t")
+_BAYES = """w AS (SELECT doc_id, lang, unnest(string_split_regex(text, '\\s+')) AS word FROM documents), k AS (SELECT lang AS label, word, count(*) AS n FROM w WHERE word <> '' AND lang IS NOT NULL GROUP BY 1, 2),
+       d AS (SELECT lang AS label, count(*) AS docs FROM documents WHERE lang IS NOT NULL GROUP BY 1), v AS (SELECT count(DISTINCT word) AS v FROM k),
+       m AS (SELECT d.label, ln(docs + 1.0) - ln(sum(docs) OVER () + count(*) OVER ()) AS prior, ln(coalesce(total, 0) + (SELECT v FROM v)) AS spread FROM d LEFT JOIN (SELECT label, sum(n) AS total FROM k GROUP BY 1) s ON s.label = d.label)"""
+
+
+@query("ml24_naive_bayes", f"WITH {_BAYES} SELECT k.label, word, round(prior, 7) AS prior, round(ln(n + 1.0) - spread, 7) AS weight FROM k JOIN m ON k.label = m.label")
+def _(t):
+    classes, weights = naive_bayes.fit(t.documents, "lang", "text")
+    return weights.join(classes, "label").select("label", "word", F.round("prior", 7).alias("prior"), F.round("weight", 7).alias("weight"))
 
 
 @query(
-    "ml24_naive_bayes",
-    "WITH f AS (SELECT lang, " + ", ".join(f"sum(length(text) - length(replace(text, '{x}', '')))::DOUBLE AS {x}" for x in _LETTERS) + """, count(*) AS docs FROM documents GROUP BY 1),
-       s AS (SELECT row_number() OVER (ORDER BY lang) - 1 AS cls, *, e + n + t + 3.0 AS total, sum(docs) OVER () AS all_docs, count(*) OVER () AS classes FROM f)
-       SELECT cls::INTEGER AS cls, round(ln(docs + 1.0) - ln(all_docs + classes), 7) AS prior, round(ln(e + 1) - ln(total), 7) AS e, round(ln(n + 1) - ln(total), 7) AS n, round(ln(t + 1) - ln(total), 7) AS t FROM s""",
+    "ml24_naive_bayes_predictions",
+    f"""WITH {_BAYES}, own AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2),
+       b AS (SELECT documents.doc_id, label, prior - coalesce(length, 0) * spread AS score FROM documents LEFT JOIN (SELECT doc_id, sum(n) AS length FROM own GROUP BY 1) l ON l.doc_id = documents.doc_id, m),
+       e AS (SELECT doc_id, k.label, sum(own.n * ln(k.n + 1.0)) AS more FROM own JOIN k ON k.word = own.word GROUP BY 1, 2)
+       SELECT doc_id, label FROM (SELECT b.doc_id, b.label, row_number() OVER (PARTITION BY b.doc_id ORDER BY round(score + coalesce(more, 0), 6) DESC, b.label) AS place
+         FROM b LEFT JOIN e ON e.doc_id = b.doc_id AND e.label = b.label) WHERE place = 1""",
 )
 def _(t):
-    languages = [r.lang for r in t.documents.select("lang").distinct().orderBy("lang").collect()]
-    label = F.array_position(F.array(*[F.lit(x) for x in languages]), c("lang")).cast("double") - 1
-    counts = F.array(*[(F.length("text") - F.length(F.replace("text", F.lit(x), F.lit("")))).cast("double") for x in _LETTERS])
-    model = mc.NaiveBayes(smoothing=1.0, modelType="multinomial").fit(t.documents.select(label.alias("label"), array_to_vector(counts).alias("features")))
-    theta, pi = model.theta.toArray(), model.pi.toArray()
-    rows = [(i, round(float(pi[i]), 7), *[round(float(v), 7) for v in theta[i]]) for i in range(len(pi))]
-    return t.spark.createDataFrame(rows, "cls int, prior double, e double, n double, t double")
-
-
-def _tree_rows(t):
-    """Segment and nation as categories, balance as a number; the label follows a hidden rule."""
-    rule = ((c("c_nationkey") % 2 == 0) & (c("c_acctbal") > 4000)) | (c("c_mktsegment") == "BUILDING")
-    segment = F.array_position(F.array(*[F.lit(s) for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")]), c("c_mktsegment"))
-    return t.customer.select(
-        "c_custkey", array_to_vector(F.array(segment.cast("double"), (c("c_nationkey") % 2).cast("double"), c("c_acctbal"))).alias("raw"), rule.cast("double").alias("label")
-    )
+    return naive_bayes.predict(t.documents, "doc_id", "text", naive_bayes.fit(t.documents, "lang", "text"))
 
 
 @query("ml25_decision_tree_classifier", "SELECT count(*) AS n, true AS gini_learns, true AS entropy_learns FROM customer")
@@ -413,8 +412,27 @@ def _(t):
 
 @query("ml29_lbfgs", "SELECT round(regr_slope(l_extendedprice / 1000, l_discount * 100), 4) AS slope, round(regr_intercept(l_extendedprice / 1000, l_discount * 100), 4) AS intercept FROM lineitem")
 def _(t):
-    rows = t.lineitem.select(array_to_vector(F.array(c("l_discount") * 100)).alias("features"), (c("l_extendedprice") / 1000).alias("label"))
-    return _coefficients(t, regression.LinearRegression(solver="l-bfgs", maxIter=100, tol=1e-12).fit(rows))
+    rows = materialize(t.lineitem.select((c("l_extendedprice") / 1000).alias("label"), F.array(F.lit(1.0), c("l_discount") * 100).alias("features")), "points")
+    return _line(t, lbfgs.fit(rows, [0.0, 0.0], "least_squares", tolerance=1e-14))
+
+
+def _line(t, found):
+    intercept, slope = (round(w, 4) for w in found.weights)
+    return t.spark.createDataFrame([(slope, intercept)], "slope double, intercept double")
+
+
+@query("ml29_lbfgs_logistic", _newton_sql(8))
+def _(t):
+    rows = materialize(_shipped(t).select("label", F.array(F.lit(1.0), c("x")).alias("features")), "points")
+    return _line(t, lbfgs.fit(rows, [0.0, 0.0], "logistic", tolerance=1e-14))
+
+
+@query("ml29_lbfgs_lasso", f"SELECT round(sign(avg(2 * {_Y} * {_Q})) * greatest(abs(avg(2 * {_Y} * {_Q})) - 500, 0) / avg(2 * {_Q} * {_Q}), 4) AS w, 0.0::DOUBLE AS none FROM part")
+def _(t):
+    # The second feature is nothing but the penalty's to decide: it stays at zero.
+    rows = materialize(t.part.select(c("p_retailprice").alias("label"), F.array(c("p_partkey") / 100, F.lit(0.0)).alias("features")), "points")
+    found = lbfgs.fit(rows, [0.0, 0.5], "least_squares", "l1", 500.0, tolerance=1e-14)
+    return t.spark.createDataFrame([tuple(round(w, 4) + 0.0 for w in found.weights)], "w double, none double")
 
 
 _SCORED = "S AS (SELECT round(n_chars / 200.0)::DOUBLE AS score, quality AS label FROM documents JOIN labels USING (doc_id))"
