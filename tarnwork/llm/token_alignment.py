@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -22,17 +22,21 @@ c = F.col
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 SHIFT = 15  # a pair is (A id << SHIFT) + B id
-KEEP, LONG = 300_000, 10_000  # stretches remembered by one worker; characters beyond which the library itself encodes
+KEEP, LONG = 500_000, 10_000  # stretches remembered by one worker; characters beyond which the library itself encodes
+WIDE = 64  # links of a group beyond which equal ids are counted first
 BROADCAST_PAIRS = 1_000_000  # irregular pairs, 12 bytes each, that may be sent to every executor
-_STRETCH = re.compile(r"\s*\S+|\s+")
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: White space, signs and the Latin letters after them, unless other letters follow; or white space and all up to the next.
+_STRETCH = re.compile(rf"\s*[^\s{_LATIN}]*[{_LATIN}]+(?![^\W\d_])|\s*\S+|\s+")
 _CONTROL_SPACE = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the tokenizers
 
 
 class Grown:
     """A numpy array that grows at its end."""
 
-    def __init__(self, kind: type):
+    def __init__(self, kind: type, values: Sequence = ()):
         self._held, self.size = np.zeros(1 << 12, kind), 0
+        self.extend(values)
 
     def extend(self, values: Sequence) -> None:
         more = self.size + len(values)
@@ -49,10 +53,11 @@ class Grown:
 class Aligner:
     """Tokens of space + text under a byte-level vocabulary (A) and a piece vocabulary (B), grouped between common ends.
 
-    Neither vocabulary has a token that goes on from a sign to white space
-    (checked against B's pieces when it is read; texts with the white space
-    for which it does not hold are encoded whole), so each stretch of white
-    space and the word after it is encoded by itself and remembered.
+    Neither vocabulary has a token that goes on from a sign to white space,
+    or from a letter to a sign that is none (checked against B's pieces when
+    it is read; texts with the white space for which it does not hold are
+    encoded whole), so each stretch of white space, signs and the letters
+    after them is encoded by itself and remembered.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -73,83 +78,116 @@ class Aligner:
         self.b_bytes = [bytes([int(t[3:5], 16)]) if b.is_byte(i) else t.replace(SPACE_MARK, " ").encode() for i, t in enumerate(told)]
         if len(told) > 1 << SHIFT:
             raise ValueError("the piece vocabulary has too many ids")
-        self._mark = b.piece_to_id(SPACE_MARK)
+        self._mark, self._letter = b.piece_to_id(SPACE_MARK), b.piece_to_id(SPACE_MARK + "a")
         plain = {self.b_bytes[i]: i for i in range(len(told)) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i))}
         self.a_bytes = {i: t for t, i in ranks.items()}
+        self._size_a = [len(self.a_bytes.get(i, b"")) for i in range(max(ranks.values()) + 1)]
+        self._size_b = [len(t) for t in self.b_bytes]
+        self._told = [str(i) for i in range(max(len(self._size_a), len(told)))]
         #: The identity map: for each A id the B id of the same bytes, or -1.
         self.same = np.full(max(ranks.values()) + 1, -1, np.int64)
         for token, i in ranks.items():
             self.same[i] = plain.get(token, -1)
         odd = {ch for t in told if len(t) > 1 for ch in t if ch.isspace()}
-        if any(re.search(rf"[^{SPACE_MARK}]{SPACE_MARK}", t) for t in told):
-            odd.add(" ")
+        common = [told[i] for i in range(len(told)) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i))]
+        if any(re.search(rf"[^{SPACE_MARK}]{SPACE_MARK}|[{_LATIN}][^\W\d_]*[\W\d_]", t) for t in common):
+            odd.add(" ")  # no stretch can be encoded by itself
         self._odd = re.compile("[" + re.escape("".join(odd) + _CONTROL_SPACE) + "]")
         self.forget()
 
     def forget(self) -> None:
         self._known: dict[str, int] = {}
         self._groups: list[str] = []
-        self._counts, self._starts = Grown(np.int64), Grown(np.int64)  # n_a, n_b, n_groups of each; where its pairs start
+        self._counts, self._starts = Grown(np.int64), Grown(np.int64, [0])  # n_a, n_b, n_groups of each; where its pairs start
         self._pairs, self._times = Grown(np.int64), Grown(np.int64)
-        self._starts.extend([0])
+        self._used = Grown(np.int64)
+
+    def thin(self) -> None:
+        """Forget the stretches of fewer than three texts."""
+        keep = self._used.all > 2
+        starts = self._starts.all
+        sizes = np.diff(starts)[keep]
+        of = np.repeat(keep, np.diff(starts))
+        place = np.cumsum(keep) - 1
+        counts, pairs, times = self._counts.all.reshape(-1, 3)[keep].ravel(), self._pairs.all[of], self._times.all[of]
+        left = {t: int(place[i]) for t, i in self._known.items() if keep[i]}
+        groups = [g for g, k in zip(self._groups, keep.tolist()) if k]
+        self.forget()
+        if len(left) < KEEP // 2:
+            self._known, self._groups = left, groups
+            for grown, values in ((self._counts, counts), (self._pairs, pairs), (self._times, times), (self._starts, np.cumsum(sizes)), (self._used, np.ones(len(left)))):
+                grown.extend(values)
 
     def _a(self, text: str) -> list[int]:
         return self._core.encode_ordinary(text) if len(text) <= LONG else self._library.encode(text, add_special_tokens=False).ids
 
-    def _b(self, text: str) -> list[int] | None:
-        """Pieces of a stretch as it stands; None if the space that the library adds joins what follows."""
-        if text[0] == " ":
-            return self._pieces.encode(text[1:], num_threads=1) if len(text) > 1 else [self._mark]
-        ids = self._pieces.encode(text, num_threads=1)
-        return ids[1:] if ids[0] == self._mark else None
-
-    def align(self, a: list[int], b: list[int]) -> tuple[int, str, dict[int, int]]:
-        """Number of groups, the groups written out, and how often each pair is linked."""
-        sizes_a, sizes_b, same, links, told = self.a_bytes, self.b_bytes, self.same, {}, []
-        end_a = end_b = first_a = first_b = j = 0
-        for i, token in enumerate(a, 1):
-            end_a += len(sizes_a[token])
+    def align(self, a: list[int], b: list[int]) -> tuple[list[str], list[int], list[int]]:
+        """The groups written out, the linked pairs, and how often each is linked; a pair may come again."""
+        size_a, size_b, name = self._size_a, self._size_b, self._told
+        told, pairs, times = [], [], []
+        end_a = end_b = first_a = first_b = i = j = 0
+        for token in a:
+            i += 1
+            end_a += size_a[token]
             while end_b < end_a:
-                end_b += len(sizes_b[b[j]])
+                end_b += size_b[b[j]]
                 j += 1
             if end_b > end_a:
                 continue
             if i - first_a == 1 and j - first_b == 1:  # one to one: no lists to cross
-                pair = (token << SHIFT) + b[first_b]
-                links[pair] = links.get(pair, 0) + 1
-                told.append(f"{token}|{b[first_b]}")
+                told.append(f"{name[token]}|{name[b[first_b]]}")
+                pairs.append((token << SHIFT) + b[first_b])
+                times.append(1)
             else:
                 xs, ys = a[first_a:i], b[first_b:j]
-                told.append(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)))
-                for x, n in _tally(xs):
-                    for y, m in _tally(ys):
-                        pair = (x << SHIFT) + y
-                        links[pair] = links.get(pair, 0) + n * m
+                told.append(",".join([name[x] for x in xs]) + "|" + ",".join([name[y] for y in ys]))
+                if len(xs) * len(ys) <= WIDE:
+                    pairs += [(x << SHIFT) + y for x in xs for y in ys]
+                    times += [1] * (len(pairs) - len(times))
+                else:
+                    (xs, n), (ys, m) = np.unique(xs, return_counts=True), np.unique(ys, return_counts=True)
+                    pairs += ((xs[:, None] << SHIFT) + ys).ravel().tolist()
+                    times += (n[:, None] * m).ravel().tolist()
             first_a, first_b = i, j
-        return len(told), ";".join(told), links
+        return told, pairs, times
 
     def _whole(self, full: str) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
         a, b = self._library.encode(full, add_special_tokens=False).ids, self._pieces.encode(full[1:], num_threads=1)
         raw = full.encode()
         if b"".join(self.b_bytes[i] for i in b) != raw or b"".join(self.a_bytes[i] for i in a) != raw:
             return None
-        n, told, links = self.align(a, b)
-        pairs = np.array(sorted(links), np.int64)
-        return np.array([len(a), len(b), n]), told, pairs, np.array([links[p] for p in pairs.tolist()], np.int64)
+        told, pairs, times = self.align(a, b)
+        return np.array([len(a), len(b), len(told)]), ";".join(told), *_summed(np.array(pairs, np.int64), np.array(times, np.int64))
 
-    def _learn(self, stretches: Iterable[str]) -> bool:
+    def _learn(self, stretches: list[str]) -> bool:
         """Remember the stretches; False if one of them cannot be encoded by itself."""
-        for text in stretches:
-            raw, a, b = text.encode(), self._a(text), self._b(text)
-            if b is None or b"".join(self.b_bytes[i] for i in b) != raw:
+        b_bytes, size = self.b_bytes, len(self._groups)
+        spaced = [t[0] == " " for t in stretches]
+        # The library puts a space first: it stands for the stretch's own, or before a letter that joins nothing after it.
+        every = self._pieces.encode([t[1:] if s else "a" + t for t, s in zip(stretches, spaced)], num_threads=1)
+        groups, counts, starts, pairs, times = [], [], [], [], []
+        for text, is_spaced, b in zip(stretches, spaced, every):
+            if not is_spaced:
+                if b[0] != self._letter:
+                    return False
+                del b[0]
+            elif len(text) == 1:
+                b = [self._mark]
+            if b"".join([b_bytes[i] for i in b]) != text.encode():
                 return False
-            n, told, links = self.align(a, b)
-            self._known[text] = len(self._groups)
-            self._groups.append(told)
-            self._counts.extend([len(a), len(b), n])
-            self._pairs.extend(list(links))
-            self._times.extend(list(links.values()))
-            self._starts.extend([self._pairs.size])
+            a = self._a(text)
+            told, more, often = self.align(a, b)
+            groups.append(";".join(told))
+            counts += (len(a), len(b), len(told))
+            pairs += more
+            times += often
+            starts.append(len(pairs))
+        self._known.update(zip(stretches, range(size, size + len(stretches))))
+        self._groups += groups
+        self._starts.extend(np.array(starts, np.int64) + self._pairs.size)
+        self._used.extend([0] * len(groups))
+        for grown, values in ((self._counts, counts), (self._pairs, pairs), (self._times, times)):
+            grown.extend(values)
         return True
 
     def text(self, text: str | None) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
@@ -160,29 +198,29 @@ class Aligner:
         if self._odd.search(full):
             return self._whole(full)
         stretches = _STRETCH.findall(full)
-        known = self._known
-        if not known.keys() >= (different := set(stretches)):
-            if len(known) > KEEP:
-                self.forget()
-                known = self._known
-            if not self._learn(sorted(different.difference(known))):
+        try:
+            at = [self._known[s] for s in stretches]
+        except KeyError:
+            if len(self._known) > KEEP:
+                self.thin()
+            if not self._learn(list(set(stretches).difference(self._known))):
                 return self._whole(full)
-        at = [known[s] for s in stretches]
+            at = [self._known[s] for s in stretches]
         each, times = np.unique(np.array(at, np.int64), return_counts=True)
+        self._used.all[each] += 1
         counts = (self._counts.all.reshape(-1, 3)[each] * times[:, None]).sum(axis=0)
         starts = self._starts.all
         sizes = starts[each + 1] - starts[each]
         into = np.repeat(starts[each] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        pairs, place = np.unique(self._pairs.all[into], return_inverse=True)
-        linked = np.bincount(place, weights=self._times.all[into] * np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
-        return counts, ";".join([self._groups[i] for i in at]), pairs, linked
+        return counts, ";".join([self._groups[i] for i in at]), *_summed(self._pairs.all[into], self._times.all[into] * np.repeat(times, sizes))
 
 
-def _tally(ids: list[int]) -> Iterable[tuple[int, int]]:
-    if len(ids) < 3:
-        return [(i, 1) for i in ids]
-    found, times = np.unique(ids, return_counts=True)
-    return list(zip(found.tolist(), times.tolist()))
+def _summed(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, ascending, with the sum of its times."""
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    return pairs[first], np.add.reduceat(times[order], first) if len(first) else times
 
 
 @lru_cache(maxsize=2)
