@@ -24,7 +24,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 GRAM = 6  # words of the gram that stands for a window
 HOT = 10_000  # places beyond which a gram's windows are dealt out one by one
 GRAM_BITS, DOCUMENT_BITS, PARTS = 27, 24, 64  # sizes of the bit tables: 16 MB and 2 MB
-SLICE, ROWS = 1 << 21, 1 << 15  # bytes of text, or rows, that are computed at once
+SLICE, ROWS = 1 << 19, 1 << 14  # bytes of text, or rows, that are computed at once
 BLOCK = 200_000  # recurring windows of a block of documents
 AUTOMATON = 400_000  # words of the passages in one automaton
 
