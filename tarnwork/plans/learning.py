@@ -14,8 +14,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tarnwork.catalog import query
-from tarnwork.ml import draws, lbfgs, matrix, metrics, naive_bayes, ranks, text_features
-from tarnwork.ml.gradient import descend, gradient
+from tarnwork.ml import draws, lbfgs, matrix, metrics, naive_bayes, ranks, text_features, trees
+from tarnwork.ml.gradient import descend
 from tarnwork.ml.inner_products import largest_products
 from tarnwork.ml.regression import fit_penalised
 from tarnwork.operators.sampling import folds
@@ -368,6 +368,15 @@ def _(t):
     return naive_bayes.predict(t.documents, "doc_id", "text", naive_bayes.fit(t.documents, "lang", "text"))
 
 
+def _tree_rows(t):
+    """Segment and nation as categories, balance as a number; the label follows a hidden rule."""
+    rule = ((c("c_nationkey") % 2 == 0) & (c("c_acctbal") > 4000)) | (c("c_mktsegment") == "BUILDING")
+    segment = F.array_position(F.array(*[F.lit(s) for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")]), c("c_mktsegment"))
+    return t.customer.select(
+        "c_custkey", array_to_vector(F.array(segment.cast("double"), (c("c_nationkey") % 2).cast("double"), c("c_acctbal"))).alias("raw"), rule.cast("double").alias("label")
+    )
+
+
 @query("ml25_decision_tree_classifier", "SELECT count(*) AS n, true AS gini_learns, true AS entropy_learns FROM customer")
 def _(t):
     rows = _tree_rows(t)
@@ -387,6 +396,42 @@ def _(t):
     return scored.agg(F.count("*").alias("n"), (left < 0.5 * F.var_pop("label")).alias("explains"))
 
 
+def _tree_sql(label: str, columns: list[str], depth: int) -> str:
+    """Every level's best split of every node, over all distinct values of the columns."""
+    text = f"WITH x AS MATERIALIZED (SELECT ({label})::DOUBLE AS y, [{', '.join(f'({v})::DOUBLE' for v in columns)}] AS x FROM lineitem), r0 AS (SELECT 1 AS node, y, x FROM x)"
+    for d in range(depth + 1):
+        text += f""", h{d} AS MATERIALIZED (SELECT node, f, v, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM (SELECT node, y, unnest(x) AS v, unnest(range(len(x))) AS f FROM r{d}) GROUP BY 1, 2, 3),
+          t{d} AS (SELECT node, sum(n)::BIGINT AS n, sum(s) AS s, sum(q) AS q FROM h{d} WHERE f = 0 GROUP BY 1),
+          l{d} AS (SELECT node, f, v, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(q) OVER w AS q FROM h{d} WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+          g{d} AS (SELECT l.node, f, v, round(t.q / t.n - (t.s / t.n) * (t.s / t.n) - (l.q - l.s * l.s / l.n) / t.n - ((t.q - l.q) - (t.s - l.s) * (t.s - l.s) / (t.n - l.n)) / t.n, 12) AS gain FROM l{d} l JOIN t{d} t ON t.node = l.node WHERE l.n < t.n),
+          b{d} AS MATERIALIZED (SELECT node, f, v, gain FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) AS k FROM g{d}) WHERE k = 1 AND gain > 1e-12 AND {d} < {depth}),
+          o{d} AS (SELECT t.node, t.n, t.s / t.n AS prediction, b.f, b.v, b.gain FROM t{d} t LEFT JOIN b{d} b ON b.node = t.node),
+          r{d + 1} AS MATERIALIZED (SELECT 2 * r.node + CASE WHEN x[f + 1] <= v THEN 0 ELSE 1 END AS node, y, x FROM r{d} r JOIN b{d} b ON b.node = r.node)"""
+    return text + " UNION ALL ".join(
+        f" SELECT node::INTEGER AS node, n AS rows, round(prediction, 6) AS prediction, round(coalesce(gain, 0), 6)::DOUBLE AS gain, f::INTEGER AS feature, v AS threshold FROM o{d}" for d in range(depth + 1)
+    )
+
+
+def _tree(t, label, columns, depth):
+    rows = t.lineitem.select(label.cast("double").alias("label"), F.array(*[x.cast("double") for x in columns]).alias("features"))
+    made = trees.nodes(t.spark, trees.grow(materialize(rows, "tree-rows"), len(columns), depth=depth, bins=256))
+    return made.select("node", "rows", F.round("prediction", 6).alias("prediction"), F.round("gain", 6).alias("gain"), "feature", "threshold")
+
+
+_TREE_COLUMNS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "month(l_shipdate)"]
+
+
+@query("ml25_tree_nodes", _tree_sql("l_returnflag = 'R'", _TREE_COLUMNS, 3))
+def _(t):
+    # Each column has fewer values than bins, so that the sketches' thresholds are all of them.
+    return _tree(t, c("l_returnflag") == "R", [F.expr(x) for x in _TREE_COLUMNS], 3)
+
+
+@query("ml26_tree_nodes", _tree_sql("l_extendedprice / 1000", _TREE_COLUMNS, 3))
+def _(t):
+    return _tree(t, c("l_extendedprice") / 1000, [F.expr(x) for x in _TREE_COLUMNS], 3)
+
+
 @query("ml27_model_predict", f"WITH m AS (SELECT regr_slope({_Y}, {_Q}) AS a, regr_intercept({_Y}, {_Q}) AS b FROM part) SELECT l_orderkey, l_linenumber, l_partkey, round(a * (l_partkey / 100) + b, 4) AS prediction FROM lineitem, m")
 def _(t):
     model = regression.LinearRegression(solver="normal").fit(_prices(t))

@@ -5,7 +5,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tarnwork.ml import lbfgs, naive_bayes
 from tarnwork.ml.gradient import descend
