@@ -106,31 +106,83 @@ def _spread_min(ids: DataFrame, edges: DataFrame, value: str) -> DataFrame:
             return state.drop("_new")
 
 
+def _chains(live: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """(chains, circles) of the vertices with one edge in and one out; None if there are none.
+
+    chains: (id, head, tail), where each chain comes from and goes to.
+    circles: (id, component), chains that end in themselves.  Every vertex
+    points to the next; pointers are doubled, so a chain of n takes log n
+    rounds.
+    """
+    out = live.groupBy(c("src").alias("id")).agg(F.count("*").alias("n"), F.min("dst").alias("next")).where("n = 1").drop("n")
+    into = live.groupBy(c("dst").alias("id")).agg(F.count("*").alias("n"), F.min("src").alias("previous")).where("n = 1").drop("n")
+    inner = materialize(out.join(into, "id"), "chain-vertices")
+    size = inner.count()
+    if not size:
+        return None
+    known = inner.select(c("id").alias("next"), F.lit(True).alias("_known"))
+    at = inner.join(known, "next", "left").withColumn("last", c("_known").isNull())
+    at = materialize(at.select("id", F.when(c("last"), c("id")).otherwise(c("next")).alias("to"), c("id").alias("least"), c("last").alias("done")), "chain-pointers")
+    # Twice as far each time: after log2 of all of them whoever has not come to an end goes round.
+    for _ in range(size.bit_length()):
+        if at.where(~c("done")).isEmpty():
+            break
+        ahead = at.select(c("id").alias("to"), c("to").alias("_to"), c("least").alias("_least"), c("done").alias("_done"))
+        moved = at.where(~c("done")).join(ahead, "to").select("id", c("_to").alias("to"), F.least("least", "_least").alias("least"), c("_done").alias("done"))
+        at = materialize(at.where("done").unionByName(moved), "chain-pointers")
+    ends = at.where("done").select("id", c("to").alias("last"))
+    begins = inner.join(inner.select(c("id").alias("previous")), "previous", "left_anti").select("id", c("previous").alias("head"))
+    runs = begins.join(ends, "id").select("last", "head").join(inner.select(c("id").alias("last"), c("next").alias("tail")), "last")
+    return materialize(ends.join(runs, "last").select("id", "head", "tail"), "chains"), at.where(~c("done")).select("id", c("least").alias("component"))
+
+
+def _shrunk(live: DataFrame) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+    """Edges after trimming and shortening until nothing changes; the chains of every round; the circles found.
+
+    A vertex without an edge in or out is a component by itself.  A chain is
+    replaced by one edge from its head to its tail; it belongs to their
+    component if they have one and the same.  Together both take a path or a
+    tree of any depth in about log n rounds.
+    """
+    layers, circles = [], []
+    while True:
+        size = live.count()
+        if size and (found := _chains(live)):
+            chains, circle = found
+            layers.append(chains)
+            circles.append(circle)
+            gone = chains.select("id").unionByName(circle.select("id"))
+            rest = live.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
+            short = chains.select(c("head").alias("src"), c("tail").alias("dst")).where("src <> dst")
+            live = materialize(rest.select("src", "dst").unionByName(short).distinct(), "scc-edges")
+        core = materialize(live.select(c("src").alias("id")).intersect(live.select(c("dst").alias("id"))), "scc-core")
+        live = materialize(
+            live.join(core.withColumnRenamed("id", "src"), "src", "left_semi").join(core.withColumnRenamed("id", "dst"), "dst", "left_semi"), "scc-edges"
+        )
+        if live.count() == size:
+            return live, layers, circles
+
+
 def strongly_connected_components(graph: Graph) -> DataFrame:
     """(id, component = least id of the component).
 
-    Rounds of: vertices without live in- or out-edges are done; the least id
-    is spread forward as a colour; walking back inside a colour from its root
-    finds one whole component per colour.
+    Rounds of: vertices without live in- or out-edges are done, and chains
+    are shortened to an edge (``_shrunk``); the least id is spread forward as
+    a colour; walking back inside a colour from its root finds one whole
+    component for each colour.  At the end the chains get the component of
+    their heads and tails, the last shortened first.
     """
     live = materialize(graph.edges.select("src", "dst").where("src <> dst").distinct(), "scc-edges")
     ids = materialize(graph.vertices.select("id"), "scc-ids")
-    done = None
+    rounds, done = [], None
     while True:
-        # Trim to the vertices that have both an in- and an out-edge.
-        while True:
-            core = live.select(c("src").alias("id")).intersect(live.select(c("dst").alias("id")))
-            core = materialize(core, "scc-core")
-            kept = materialize(
-                live.join(core.withColumnRenamed("id", "src"), "src", "left_semi")
-                .join(core.withColumnRenamed("id", "dst"), "dst", "left_semi"), "scc-edges",
-            )
-            stable = kept.count() == live.count()
-            live = kept
-            if stable:
-                break
+        live, layers, circles = _shrunk(live)
+        rounds += layers
+        for circle in circles:
+            done = circle if done is None else done.unionByName(circle)
         if live.isEmpty():
             break
+        core = live.select(c("src").alias("id")).distinct()
         colours = _spread_min(core.withColumn("colour", c("id")), live, "colour")
         ends = live.join(colours.select(c("id").alias("src"), c("colour").alias("a")), "src").join(
             colours.select(c("id").alias("dst"), c("colour").alias("b")), "dst")
@@ -145,9 +197,21 @@ def strongly_connected_components(graph: Graph) -> DataFrame:
             live.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
             .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti"), "scc-edges",
         )
-    if done is None:
+    if done is None and not rounds:
         return ids.select("id", c("id").alias("component"))
-    return ids.join(done, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    chained = None
+    for chains in rounds:
+        chained = chains.select("id") if chained is None else chained.unionByName(chains.select("id"))
+    named = ids if done is None else ids.join(done, "id", "left")
+    named = named.select("id", F.coalesce(c("component") if done is not None else c("id"), c("id")).alias("component"))
+    named = materialize(named if chained is None else named.join(chained, "id", "left_anti"), "scc-named")
+    for chains in reversed(rounds):
+        heads, tails = (named.select(c("id").alias(x), c("component").alias(f"_{x}")) for x in ("head", "tail"))
+        inside = chains.join(heads, "head").join(tails, "tail")
+        own = inside.select("id", F.when(c("_head") == c("_tail"), c("_head")).otherwise(c("id")).alias("component"))
+        named = materialize(named.unionByName(own), "scc-named")
+    least = materialize(named.groupBy("component").agg(F.min("id").alias("least")), "scc-least")
+    return named.join(least, "component").select("id", c("least").alias("component"))
 
 
 def triangle_counts(graph: Graph) -> DataFrame:

@@ -90,6 +90,29 @@ def test_strongly_connected_components(spark):
     assert {x.id: x.component for x in alg.strongly_connected_components(g).collect()} == want
 
 
+def test_components_of_random_directed_graphs(spark):
+    for seed, n, m in ((1, 14, 16), (2, 18, 24), (3, 25, 27), (4, 8, 30), (5, 30, 30)):
+        edges = random_edges(n, m, seed)
+        g, ids = build(spark, edges)
+        r = reach(ids, edges)
+        want = {i: min(j for j in ids if j == i or (j in r[i] and i in r[j])) for i in ids}
+        assert {x.id: x.component for x in alg.strongly_connected_components(g).collect()} == want
+
+
+def test_long_circles_and_chains_take_few_rounds(spark, monkeypatch):
+    n = 10_000
+    ring = [(i, (i + 1) % n) for i in range(n)]
+    chain = [(n + i, n + i + 1) for i in range(n)] + [(0, n)]  # hangs on the circle
+    loop = [(3 * n + i, 3 * n + i + 1) for i in range(99)] + [(3 * n + 99, 3 * n), (3 * n + 50, 3 * n + 10), (3 * n + 99, 5)]
+    written = []
+    keep = alg.materialize
+    monkeypatch.setattr(alg, "materialize", lambda df, label="stage": written.append(label) or keep(df, label))
+    edges = spark.createDataFrame(ring + chain + loop, "src long, dst long")
+    got = {r.id: r.component for r in alg.strongly_connected_components(Graph(endpoints(edges), edges)).collect()}
+    assert all(got[i] == 0 for i in range(n)) and all(got[n + i] == n + i for i in range(n + 1)) and all(got[3 * n + i] == 3 * n for i in range(100))
+    assert written.count("chain-pointers") + written.count("spread") <= 40
+
+
 def test_triangles_labels_paths_closure(spark):
     edges = random_edges(9, 26, 4)
     g, ids = build(spark, edges)
