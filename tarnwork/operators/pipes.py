@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _BATCH = 4096
 
@@ -23,7 +24,7 @@ def pipe(
 ) -> DataFrame:
     """(line): what one process per partition answers to the partition's rows, written to it as lines.
 
-    ``env`` adds to the worker's environment.  ``print_context`` writes lines
+    A null row is an empty line.  ``env`` adds to the worker's environment.  ``print_context`` writes lines
     before the first row, ``print_row`` the lines of a row (the row itself by
     default).  A thread feeds the process while its answer is read, so neither
     side is held in memory.  A partition without rows starts a process too.  A
@@ -42,7 +43,7 @@ def pipe(
                 if print_context:
                     print_context(out)
                 for batch in batches:
-                    for row in batch.column(0).to_pylist():
+                    for row in batch.column(0).fill_null("").to_pylist():
                         if print_row:
                             print_row(row, out)
                         else:
@@ -71,4 +72,4 @@ def pipe(
         if lines:
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["line"])
 
-    return df.select(column).mapInArrow(run, "line string")
+    return df.select(F.col(column).cast("string")).mapInArrow(run, "line string")

@@ -308,9 +308,11 @@ def _(t):
 
 @query("prj49_pipe_whole_partition", "SELECT count(*)::VARCHAR || ' ' || sum(l_linenumber)::BIGINT AS line FROM lineitem")
 def _(t):
-    # The command keeps state over all rows of its partition.
-    rows = t.lineitem.select(F.col("l_linenumber").cast("string").alias("line")).coalesce(1)
-    return pipe(rows, "line", ["awk", "{ n += 1; s += $1 } END { print n, s }"])
+    # The command keeps state over all rows of its partition; what each says at its end is added up.
+    said = pipe(t.lineitem, "l_linenumber", ["awk", "{ n += 1; s += $1 } END { print n + 0, s + 0 }"])
+    parts = F.split("line", " ")
+    total = said.agg(F.sum(parts[0].cast("long")).alias("n"), F.sum(parts[1].cast("long")).alias("s"))
+    return total.select(F.concat_ws(" ", "n", "s").alias("line"))
 
 
 @query("prj49_pipe_with_context", "SELECT 'begin' AS line UNION ALL SELECT 'AIR ' || r_name FROM region UNION ALL SELECT 'AIR ' || r_name || '!' FROM region")

@@ -113,23 +113,31 @@ def _(t):
     return ranks.select("id", F.round("rank", 7).alias("rank"))
 
 
-@query(
-    "wrk08_page_link_rank",
-    f"""WITH L AS MATERIALIZED (SELECT DISTINCT 'page:' || page_id::VARCHAR AS src, target AS dst FROM {_LINKS}), V AS (SELECT src AS id FROM L UNION SELECT dst FROM L),
-            D AS (SELECT src, count(*) AS d FROM L GROUP BY 1)
-        SELECT V.id AS name, round(0.15 + 0.85 * coalesce(sum(0.15 / d), 0), 7)::DOUBLE AS rank FROM V LEFT JOIN L ON dst = V.id LEFT JOIN D ON D.src = L.src GROUP BY 1""",
-)
-def _(t):
-    # Names become ids by a distributed numbering; links come from the page markup.
-    links = _links(t).select(F.concat(F.lit("page:"), c("page_id").cast("string")).alias("a"), c("target").alias("b")).distinct()
+def named_page_rank(links, rounds: int):
+    """(name, rank) of every name that links (a, b) or is linked to, after some rounds of page rank from 1; a link counts once."""
+    links = materialize(links.select("a", "b").distinct(), "named-links")
     names = links.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    # Names become ids by a distributed numbering.
     ids = materialize(index_rows(names, [c("name")], "id"), "names")
     edges = links.join(ids.select(c("name").alias("a"), c("id").alias("src")), "a").join(ids.select(c("name").alias("b"), c("id").alias("dst")), "b").select("src", "dst")
-    # Pages are named by nobody, so after two rounds the ranks are exact.
-    ranks = pagerank(Graph(endpoints(edges), edges), 2)
+    ranks = pagerank(Graph(ids.select("id"), edges), rounds)
     return ids.join(ranks, "id").select("name", F.round("rank", 7).alias("rank"))
 
 
+def _page_rank_sql(rounds: int) -> str:
+    text_ = f"""WITH L AS MATERIALIZED (SELECT DISTINCT 'page:' || page_id::VARCHAR AS src, target AS dst FROM {_LINKS}), V AS MATERIALIZED (SELECT src AS id FROM L UNION SELECT dst FROM L),
+        W AS MATERIALIZED (SELECT L.src, dst, 1.0 / d AS w FROM L JOIN (SELECT src, count(*) AS d FROM L GROUP BY 1) D ON D.src = L.src), r0 AS (SELECT id, 1.0::DOUBLE AS rank FROM V)"""
+    for i in range(1, rounds + 1):
+        text_ += f", r{i} AS MATERIALIZED (SELECT V.id, 0.15 + 0.85 * coalesce(sum(rank * w), 0) AS rank FROM V LEFT JOIN (SELECT dst, rank, w FROM W JOIN r{i - 1} r ON r.id = W.src) s ON s.dst = V.id GROUP BY 1)"
+    return text_ + f" SELECT id AS name, round(rank, 7)::DOUBLE AS rank FROM r{rounds}"
+
+
+@query("wrk08_page_link_rank", _page_rank_sql(5))
+def _(t):
+    # Links come from the page markup.
+    return named_page_rank(_links(t).select(F.concat(F.lit("page:"), c("page_id").cast("string")).alias("a"), c("target").alias("b")), 5)
+
+
 @query("wrk09_rows_and_sql", "SELECT (SELECT count(*) FROM customer) AS all_rows, c_custkey, c_name FROM customer WHERE c_custkey < 10")
 def _(t):
     path = fresh_dir(t.spark, "people")

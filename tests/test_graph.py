@@ -187,3 +187,12 @@ def test_components_of_a_hub(spark):
         spark.createDataFrame([(500, 501), (501, 502)], "src long, dst long"))
     got = {r.id: r.component for r in alg.connected_components(Graph(endpoints(edges), edges)).collect()}
     assert got == {**{i: 0 for i in range(400)}, 500: 500, 501: 500, 502: 500}
+
+
+def test_named_page_rank_of_pages_that_link_in_a_circle(spark):
+    from tarnwork.plans.workloads import named_page_rank
+
+    links = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "x"), ("a", "x"), ("y", "a")]
+    got = {r.name: r["rank"] for r in named_page_rank(spark.createDataFrame(links, "a string, b string"), 6).collect()}
+    want = serial_rank(["a", "b", "c", "x", "y"], sorted(set(links)), 6)
+    assert got == pytest.approx(want, abs=1e-6)

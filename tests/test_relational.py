@@ -119,3 +119,10 @@ def test_samples_do_not_depend_on_partitioning(spark):
     drawn = exact_stratified(df, "s", ["id"], {"a": 0.5, "b": 0.1})
     assert rows(drawn.groupBy("s").count()) == [("a", 34), ("b", 14)]
     assert rows(folds(df, ["id"], 4)) == rows(folds(df.repartition(3), ["id"], 4))
+
+
+def test_null_rows_are_empty_lines_to_a_command(spark):
+    from tarnwork.operators.pipes import pipe
+
+    df = spark.createDataFrame([("a",), (None,), ("",)], "line string").coalesce(1)
+    assert sorted(r.line for r in pipe(df, "line", ["sed", "s/^$/none/"]).collect()) == ["a", "none", "none"]
