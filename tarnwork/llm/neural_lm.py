@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from tarnwork.llm.recurrent import Network, Shape
 c = F.col
 
 END = b""  # no word is empty
+LONG_WORD = 64  # bytes
 DIRECTORY = 1 << 18  # the most frequent words, whose counts every task holds; all others are joined
 HEAD, TAILS, HIDDEN = 1024, 48, 16
 WINDOW, LANES, CHUNK = 16, 512, 4_000_000
@@ -37,8 +39,15 @@ _SCORED_SQL = "row long, doc_id long, held_out boolean, n_tokens long, n_known l
 
 
 def words(text: bytes) -> list[bytes]:
-    """Lower-cased (A to Z) words of a UTF-8 text, cut at 0x20 and 0x09 to 0x0D."""
-    return text.lower().split()
+    """Lower-cased (A to Z) words of a UTF-8 text, cut at 0x20 and 0x09 to 0x0D.
+
+    A word of over LONG_WORD bytes is given as its digest and its ending, so
+    that what is counted, sent and collected has a bounded size.
+    """
+    found = text.lower().split()
+    if max(map(len, found), default=0) > LONG_WORD:
+        return [w if len(w) <= LONG_WORD else b"\xff" + hashlib.sha256(w).digest() + w[-2:] for w in found]
+    return found
 
 
 def word_counts(docs: DataFrame, most: int = 500_000) -> DataFrame:

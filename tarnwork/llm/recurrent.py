@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,36 +55,54 @@ class Shape:
         return flat
 
 
-def streams(docs: list[np.ndarray], end: int, n: int, first: list[int] | None = None) -> tuple[np.ndarray, ...]:
-    """Documents laid end to end in at most ``n`` streams of nearly equal length, longest stream first.
+class Streams:
+    """Documents laid end to end in at most ``n`` streams of nearly equal length, longest stream first; none is cut.
 
-    (inputs, targets, fresh, document), each steps x streams: the unit before
-    each target (``first``, or the end, before a document's own), the target
-    or -1 past the end, whether a document begins, and its number.  No
-    document is cut.
+    What is held grows with the tokens, not with the longest stream; only a
+    window at a time is laid out in steps x streams.
     """
-    heap = [(0, i) for i in range(min(n, len(docs)))]
-    lanes: list[list[int]] = [[] for _ in heap]
-    for d in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
-        size, lane = heapq.heappop(heap)
-        lanes[lane].append(d)
-        heapq.heappush(heap, (size + len(docs[d]), lane))
-    lanes.sort(key=lambda ds: -sum(len(docs[d]) for d in ds))
-    steps = sum(len(docs[d]) for d in lanes[0])
-    inputs, targets = np.full((steps, len(lanes)), end, np.int32), np.full((steps, len(lanes)), -1, np.int32)
-    fresh, number = np.zeros((steps, len(lanes)), bool), np.zeros((steps, len(lanes)), np.int32)
-    for lane, ds in enumerate(lanes):
-        at = 0
-        for d in ds:
-            n = len(docs[d])
-            targets[at : at + n, lane] = docs[d]
-            if first:
-                inputs[at, lane] = first[d]
-            inputs[at + 1 : at + n, lane] = docs[d][:-1]
-            fresh[at, lane] = True
-            number[at : at + n, lane] = d
-            at += n
-    return inputs, targets, fresh, number
+
+    def __init__(self, docs: list[np.ndarray], end: int, n: int, first: list[int] | None = None):
+        heap = [(0, i) for i in range(min(n, len(docs)))]
+        lanes: list[list[int]] = [[] for _ in heap]
+        for d in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
+            size, lane = heapq.heappop(heap)
+            lanes[lane].append(d)
+            heapq.heappush(heap, (size + len(docs[d]), lane))
+        lanes.sort(key=lambda ds: -sum(len(docs[d]) for d in ds))
+        order = [d for ds in lanes for d in ds]
+        sizes = np.array([len(docs[d]) for d in order], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        self.end, self.length = end, np.array([sum(len(docs[d]) for d in ds) for ds in lanes], np.int64)
+        self._begin = np.cumsum(self.length) - self.length
+        self._targets = np.concatenate([docs[d] for d in order]).astype(np.int32)
+        self._inputs = np.concatenate([[end], self._targets[:-1]]).astype(np.int32)
+        self._fresh = np.zeros(len(self._targets), bool)
+        some = sizes > 0
+        self._fresh[starts[some]] = True
+        self._inputs[starts[some]] = np.array([first[d] for d in order], np.int32)[some] if first else end
+        self._number = np.repeat(np.array(order, np.int32), sizes)
+
+    @property
+    def n(self) -> int:
+        return len(self.length)
+
+    def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(inputs, targets, fresh, document), each steps x streams that have not ended.
+
+        The unit before each target (``first``, or the end, before a
+        document's own), the target or -1 past the end, whether a document
+        begins, and its number.
+        """
+        for t in range(0, int(self.length.max(initial=0)), size):
+            live = int((self.length > t).sum())  # streams end from the right
+            step = np.arange(t, min(t + size, int(self.length[0])))[:, None]
+            there = step < self.length[:live]
+            at = np.where(there, self._begin[:live] + step, 0)
+            yield (
+                np.where(there, self._inputs[at], self.end).astype(np.int32), np.where(there, self._targets[at], -1).astype(np.int32),
+                there & self._fresh[at], np.where(there, self._number[at], 0).astype(np.int32),
+            )
 
 
 class Network:
@@ -165,16 +184,14 @@ class Network:
 
     def score(self, docs: list[np.ndarray], end: int, lanes: int, window: int) -> np.ndarray:
         """Natural log-probability of every document; the state is carried from window to window to its end."""
-        inputs, targets, fresh, number = streams(docs, end, lanes)
-        out, h = np.zeros(len(docs)), np.zeros((inputs.shape[1], self.shape.hidden), np.float32)
-        for t in range(0, len(inputs), window):
-            live = int((targets[t] >= 0).sum())  # streams end from the right
-            part = (slice(t, t + window), slice(0, live))
-            *_, after = self._forward(inputs[part], fresh[part], h[:live])
+        laid = Streams(docs, end, lanes)
+        out, h = np.zeros(len(docs)), np.zeros((laid.n, self.shape.hidden), np.float32)
+        for inputs, targets, fresh, number in laid.windows(window):
+            *_, after = self._forward(inputs, fresh, h[: inputs.shape[1]])
             h = after[-1]
-            real = targets[part] >= 0
-            found, _ = self._outputs(after[real], targets[part][real], None, 0.0)
-            out += np.bincount(number[part][real], found, len(docs))
+            real = targets >= 0
+            found, _ = self._outputs(after[real], targets[real], None, 0.0)
+            out += np.bincount(number[real], found, len(docs))
         return out
 
     def train(self, docs: list[np.ndarray], end: int, lanes: int, window: int, rate: float, squares: np.ndarray, stretch: int = 1024) -> int:
@@ -187,26 +204,24 @@ class Network:
         """
         k, w = self.shape.hidden, self.w
         cuts = [(d, s) for d in docs for s in range(0, len(d), stretch)]
-        inputs, targets, fresh, _ = streams([d[s : s + stretch] for d, s in cuts], end, lanes, [int(d[s - 1]) if s else end for d, s in cuts])
+        laid = Streams([d[s : s + stretch] for d, s in cuts], end, lanes, [int(d[s - 1]) if s else end for d, s in cuts])
         flat = np.zeros_like(self.flat)
         grads, held = self.shape.views(flat), self.shape.views(squares)
-        seen, h = 0, np.zeros((inputs.shape[1], k), np.float32)
-        scale = 1 / (window * inputs.shape[1])
+        seen, h = 0, np.zeros((laid.n, k), np.float32)
+        scale = 1 / (window * max(laid.n, 1))
         dense = int(np.prod(self.shape.parts["input"]))
-        for t in range(0, len(inputs), window):
-            live = int((targets[t] >= 0).sum())
-            part = (slice(t, t + window), slice(0, live))
-            x = inputs[part]
-            before, gates, new, from_state, after = self._forward(x, fresh[part], h[:live])
+        for x, targets, fresh, _ in laid.windows(window):
+            live = x.shape[1]
+            before, gates, new, from_state, after = self._forward(x, fresh, h[:live])
             h = after[-1]
-            real = targets[part] >= 0
+            real = targets >= 0
             flat[dense:] = 0
-            _, back = self._outputs(after[real], targets[part][real], grads, scale)
+            _, back = self._outputs(after[real], targets[real], grads, scale)
             seen += int(real.sum())
             by_state = np.zeros(after.shape, np.float32)
             by_state[real] = back
             to_input, to_state = np.empty((*after.shape[:2], 3 * k), np.float32), np.empty((*after.shape[:2], 3 * k), np.float32)
-            keep, carried = (~fresh[part]).astype(np.float32)[:, :, None], np.zeros((live, k), np.float32)
+            keep, carried = (~fresh).astype(np.float32)[:, :, None], np.zeros((live, k), np.float32)
             transposed = w["state"].T.copy()
             for s in range(len(after) - 1, -1, -1):
                 d, z, r, n = by_state[s] + carried, gates[s, :, :k], gates[s, :, k:], new[s]

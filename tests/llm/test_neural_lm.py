@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnwork.llm import neural_lm as lm
-from tarnwork.llm.recurrent import Network, Shape, streams
+from tarnwork.llm.recurrent import Network, Shape, Streams
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,7 +54,7 @@ def test_windows_carry_the_state():
 
 def test_streams_hold_every_document_once():
     docs = some_docs(np.random.default_rng(2), 20)
-    inputs, targets, fresh, number = streams(docs, 0, 6)
+    inputs, targets, fresh, number = next(Streams(docs, 0, 6).windows(10**6))
     for d, doc in enumerate(docs):
         lane = [j for j in range(targets.shape[1]) if ((number[:, j] == d) & (targets[:, j] >= 0)).any()]
         assert len(lane) == 1
@@ -79,7 +79,7 @@ def test_gradients_by_differences():
     total = sum(map(len, docs))
     before, squares = net.flat.copy(), np.zeros(shape.size, np.float32)
     net.train(docs, 0, 4, 1000, 0.0, squares)  # one window, no step: squares hold the squared gradient
-    steps, lanes = streams(docs, 0, 4)[0].shape
+    lanes = Streams(docs, 0, 4).n
     for i in np.random.default_rng(4).choice(shape.size, 60, replace=False).tolist() + list(range(5 * 3 * 2, 5 * 3 * 2 + 4)):
         loss = []
         for d in (1e-2, -1e-2):
@@ -128,3 +128,37 @@ def test_nulls_repeats_long_texts_and_no_rows(spark):
     nothing = lm.score(df, F.lit(True)).collect()
     assert {r.train_tokens for r in nothing} == {0} and {r.n_known for r in nothing} == {0} and {r.base_score for r in nothing} == {0.0}
     assert lm.score(df.where(F.lit(False)), F.lit(False)).collect() == []
+
+
+def test_windows_are_the_whole_cut_into_steps():
+    docs = [*some_docs(np.random.default_rng(9), 9), np.zeros(0, np.int64)]
+    laid = Streams(docs, 3, 4, list(range(10)))
+    whole = next(laid.windows(10**6))
+    at = 0
+    for part in laid.windows(5):
+        live = part[0].shape[1]
+        for a, b in zip(part, whole):
+            assert (a == b[at : at + 5, :live]).all()
+        assert (whole[1][at : at + 5, live:] == -1).all()
+        at += 5
+    assert at >= len(whole[0])
+
+
+def test_memory_of_scoring_follows_the_tokens():
+    import tracemalloc
+
+    _, net = network()
+    docs = [np.ones(60_000, np.int64), *[np.ones(20, np.int64)] * 600]
+    tracemalloc.start()
+    net.score(docs, 0, 512, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000  # 60,000 steps of 512 streams would take 400 MB
+
+
+def test_long_words_are_counted_by_digest(spark):
+    long, other = "ä" * 5_000 + "ab", "ä" * 5_001 + "ab"
+    df = spark.createDataFrame([(f"{long} a {long}",), (f"{other} A",)], "text string")
+    counts = {bytes(r.word): r.n for r in lm.word_counts(df).collect()}
+    assert sorted(counts.values()) == [1, 2, 2, 2] and counts[b"a"] == 2
+    assert all(len(w) <= lm.LONG_WORD for w in counts) and sum(w.endswith(b"ab") for w in counts) == 2
