@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import classification as mc
 from pyspark.ml import recommendation
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tarnwork.catalog import query
 from tarnwork.graph.algorithms import pagerank
-from tarnwork.graph.model import Graph, endpoints
-from tarnwork.ml import draws, metrics
+from tarnwork.graph.model import Graph
+from tarnwork.ml import draws, lbfgs, metrics
+from tarnwork.ml.gradient import descend
 from tarnwork.operators.ordering import index_rows
 from tarnwork.operators.sampling import folds
 from tarnwork.session import fresh_dir, materialize, spread
@@ -212,21 +212,54 @@ def _(t):
     return scored.agg((error < base).alias("better_than_mean"), (F.count_if(F.isnan("prediction")) == 0).alias("all_scored"))
 
 
-@query("wrk15_binary_classification_pipeline", "SELECT true AS logistic_l2, true AS logistic_l1, true AS margin FROM orders LIMIT 1")
+def _held_out_sql(regs: tuple[float, ...], rounds: int, step: float, shrink: float, steps: int) -> str:
+    """Fits on four fifths of the orders by Newton steps, or by descent for the hinge loss; what each says of the last fifth."""
+    text_ = """WITH a AS MATERIALIZED (SELECT o_orderkey % 5 AS fold, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS y, o_totalprice / 100000 AS x FROM orders),
+        p AS MATERIALIZED (SELECT y, x FROM a WHERE fold <> 0)"""
+    models = []
+    for k, reg in enumerate(regs):
+        text_ += f", m{k}_0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"
+        for i in range(1, rounds + 1):
+            text_ += f""", s{k}_{i} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, avg(q - y) + {reg} * any_value(a) AS g0, avg((q - y) * x) + {reg} * any_value(b) AS g1,
+                avg(q * (1 - q)) + {reg} AS h0, avg(q * (1 - q) * x) AS h1, avg(q * (1 - q) * x * x) + {reg} AS h2 FROM (SELECT *, 1 / (1 + exp(-(a + b * x))) AS q FROM p, m{k}_{i - 1})),
+                m{k}_{i} AS (SELECT a - (h2 * g0 - h1 * g1) / (h0 * h2 - h1 * h1) AS a, b - (h0 * g1 - h1 * g0) / (h0 * h2 - h1 * h1) AS b FROM s{k}_{i})"""
+        models.append((f"logistic {reg}", f"m{k}_{rounds}"))
+    text_ += ", h0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"
+    for i in range(1, steps + 1):
+        rate = step / i**0.5
+        down = lambda w, x: f"any_value({w}) * (1 - {rate!r} * {shrink}) + {rate!r} * avg(CASE WHEN (2 * y - 1) * (a + b * x) < 1 THEN (2 * y - 1){x} ELSE 0 END) AS {w}"
+        text_ += f", h{i} AS MATERIALIZED (SELECT {down('a', '')}, {down('b', ' * x')} FROM p, h{i - 1})"
+    models.append(("hinge", f"h{steps}"))
+    return text_ + " UNION ALL ".join(
+        f" SELECT '{name}' AS model, count(*) AS held, count(*) FILTER (WHERE (b + w * x > 0) = (y > 0)) AS agreed, round(any_value(b), 4) AS intercept, round(any_value(w), 4) AS slope"
+        f" FROM (SELECT y, x FROM a WHERE fold = 0), (SELECT a AS b, b AS w FROM {table})" for name, table in models
+    )
+
+
+@query("wrk15_binary_classification_pipeline", _held_out_sql((0.0, 0.05), 8, 0.7, 0.05, 6))
 def _(t):
+    # Orders become libsvm lines and are read back; two losses, with and without a penalty, are fitted on four fifths of them.
     path = fresh_dir(t.spark, "points-libsvm")
-    points = draws.logistic_points(t.orders, "o_orderkey", [2.0, -3.0, 0.0], 0.3, seed=31)
-    points.select("label", array_to_vector("features").alias("features")).write.format("libsvm").save(path)
-    data = t.spark.read.format("libsvm").option("numFeatures", 3).load(path).withColumn("_id", F.xxhash64(vector_to_array("features")))
-    marked = folds(data, ["_id"], 5).persist()
-    train, test = marked.where("fold <> 0"), marked.where("fold = 0")
-
-    def area(estimator):
-        raw = estimator.fit(train).transform(test).select("label", F.round(vector_to_array("rawPrediction")[1], 6).alias("score"))
-        return metrics.areas(metrics.confusion_by_threshold(raw)).select("area_roc").head()[0]
-
-    areas = [
-        area(mc.LogisticRegression(regParam=0.01, elasticNetParam=0.0)), area(mc.LogisticRegression(regParam=0.01, elasticNetParam=1.0)),
-        area(mc.LinearSVC(regParam=0.01, maxIter=30)),
-    ]
-    return t.orders.limit(1).select(*[F.lit(a > 0.9).alias(n) for a, n in zip(areas, ("logistic_l2", "logistic_l1", "margin"))])
+    points = t.orders.select(
+        (c("o_orderkey") % 5 == 0).alias("held"), (c("o_orderstatus") == "F").cast("double").alias("label"),
+        array_to_vector(F.array(F.lit(1.0), c("o_totalprice") / 100000)).alias("features"),
+    )
+    sides = []
+    for held in (False, True):
+        points.where(c("held") == held).select("label", "features").write.format("libsvm").save(f"{path}/{held}")
+        read = t.spark.read.format("libsvm").option("numFeatures", 2).load(f"{path}/{held}")
+        sides.append(materialize(read.select("label", vector_to_array("features").alias("features")), "points"))
+    train, test = sides
+    fits = {f"logistic {reg}": lbfgs.fit(train, [0.0, 0.0], "logistic", "l2", reg, tolerance=1e-14).weights for reg in (0.0, 0.05)}
+    fits["hinge"] = descend(train, [0.0, 0.0], "hinge", "l2", 0.05, 0.7, 6)
+
+    def said(name, w):
+        agrees = (F.lit(w[0]) + F.lit(w[1]) * c("features")[1] > 0) == (c("label") > 0)
+        return test.agg(F.lit(name).alias("model"), F.count("*").alias("held"), F.count_if(agrees).alias("agreed")).select(
+            "*", F.lit(round(w[0], 4)).alias("intercept"), F.lit(round(w[1], 4)).alias("slope")
+        )
+
+    first, *others = [said(name, w) for name, w in fits.items()]
+    for other in others:
+        first = first.unionByName(other)
+    return first
