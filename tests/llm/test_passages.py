@@ -99,3 +99,13 @@ def test_word_hashes_do_not_depend_on_the_slice(monkeypatch):
 def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert got(ps.remove_repeats(spark.read.parquet(f"{SF}/documents.parquet"))) == expected(rows, lambda r: r[0])
+
+
+def test_whole_table_against_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = con.execute(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({ps.OP13_SQL})").fetchall()
+    got = ps.op13_repeated_phrase_automata(spark, SF).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and sum(r.n_removed for r in got) > 0
