@@ -16,7 +16,7 @@ from tarnwork.llm.common import batched, pick, table
 c = F.col
 
 SIZE = 128  # hashes kept of a document: its smallest
-ROWS = 1024  # documents in one stretch of the order by id
+STRETCH = 1 << 24  # characters of the documents in one stretch of the order by id
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -91,35 +91,42 @@ def fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
     )
 
 
-def in_order(docs: DataFrame, rows: int = ROWS) -> DataFrame:
-    """(stretch, ahead, doc_id, text): all rows dealt out in stretches of the order by (doc_id, text).
+_PLACE = np.dtype([("at", "i8"), ("none", "?"), ("of", "i8")])  # id, whether it is null, hash of the text
 
-    Each stretch ends with a copy of the next one's first row, and the last
-    with one of the very first, marked ``ahead``.  The text is shuffled once.
-    The driver holds one id for each stretch.  Null ids come last.
+
+def in_order(docs: DataFrame, characters: int = STRETCH) -> DataFrame:
+    """(stretch, ahead, doc_id, text): all rows dealt out in stretches of the order by (doc_id, hash of the text, text).
+
+    A stretch holds about ``characters`` of text, so tasks are as many as the
+    text needs, and rows of one id are dealt out by their texts.  Each stretch
+    ends with a copy of the next one's first row, and the last with one of the
+    very first, marked ``ahead``.  The text is shuffled once.  The driver
+    holds an id and a hash for each stretch.  Null ids come last.
     """
-    ids = pick(docs, doc_id="long").select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at"))
-    stretches = max(1, -(-ids.count() // rows))
-    firsts = ids.repartitionByRange(stretches, "at").groupBy(F.spark_partition_id()).agg(F.min("at").alias("at"))
-    first = np.sort(np.array([r["at"] for r in firsts.select("at").collect()], np.int64))
+    at = F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at")
+    rows = pick(docs, doc_id="long", text="string").select("doc_id", "text", at, c("doc_id").isNull().alias("none"), F.xxhash64("text").alias("of"))
+    total = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 64)).first()[0] or 0
+    stretches = max(1, -(-total // characters))
+    keys = rows.select("at", "none", "of")
+    firsts = keys.repartitionByRange(stretches, "at", "none", "of").groupBy(F.spark_partition_id()).agg(F.min(F.struct("at", "none", "of")).alias("p"))
+    first = np.sort(np.array([tuple(r["p"]) for r in firsts.select("p").collect()], _PLACE))
     shared = docs.sparkSession.sparkContext.broadcast(first)
 
     @F.pandas_udf("array<long>")
-    def places(at: pd.Series) -> pd.Series:
-        n = len(shared.value)
-        own = np.searchsorted(shared.value, at.to_numpy(), "right") - 1
-        leads = shared.value[own] == at.to_numpy()
-        return pd.Series([[2 * i, 2 * ((i - 1) % n) + 1] if lead else [2 * i] for i, lead in zip(own.tolist(), leads.tolist())])
-
-    placed = pick(docs, doc_id="long", text="string").withColumn("at", F.coalesce("doc_id", F.lit(2**63 - 1)))
-    placed = placed.withColumn("place", F.explode(places("at"))).withColumn("stretch", F.shiftright("place", 1))
-    order = ("place", "at", c("doc_id").isNull(), F.xxhash64("text"), "text")
-    return placed.repartition("stretch").sortWithinPartitions(*order).select(
+    def places(at: pd.Series, none: pd.Series, of: pd.Series) -> pd.Series:
+        n, own = len(shared.value), np.empty(len(at), _PLACE)
+        own["at"], own["none"], own["of"] = at, none, of
+        where = np.searchsorted(shared.value, own, "right") - 1
+        leads = shared.value[where] == own
+        return pd.Series([[2 * i, 2 * ((i - 1) % n) + 1] if lead else [2 * i] for i, lead in zip(where.tolist(), leads.tolist())])
+
+    placed = rows.withColumn("place", F.explode(places("at", "none", "of"))).withColumn("stretch", F.shiftright("place", 1))
+    return placed.repartition("stretch").sortWithinPartitions("place", "at", "none", "of", "text").select(
         "stretch", (c("place") % 2 == 1).alias("ahead"), "doc_id", "text"
     )
 
 
-def edits(docs: DataFrame, size: int = SIZE, rows: int = ROWS) -> DataFrame:
+def edits(docs: DataFrame, size: int = SIZE, characters: int = STRETCH) -> DataFrame:
     """Every row's fingerprint, that of its edited text, and how near they and the next row's are.
 
     (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
@@ -161,7 +168,7 @@ def edits(docs: DataFrame, size: int = SIZE, rows: int = ROWS) -> DataFrame:
                     yield finished(*waiting, text, own[4])
                 waiting = None if ahead else (doc_id, text, own)
 
-    return in_order(docs, rows).mapInArrow(
+    return in_order(docs, characters).mapInArrow(
         lambda batches: batched(results(batches), _OUT, 512),
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     )

@@ -59,7 +59,7 @@ def test_whole_table(spark):
 
 def test_stretches_join_up(spark):
     docs = [(i * 3, f"document {i} says {i * i} " * (i % 5)) for i in range(50)]
-    check(lz.edits(spark.createDataFrame(docs, "doc_id long, text string"), rows=4).collect(), docs)
+    check(lz.edits(spark.createDataFrame(docs, "doc_id long, text string"), characters=400).collect(), docs)
 
 
 def test_nulls_repeats_long_texts_and_no_rows(spark):
@@ -73,3 +73,12 @@ def test_nulls_repeats_long_texts_and_no_rows(spark):
     check(lz.edits(one).collect(), [(7, "alone")])
     plain = {(r.doc_id, r.n_chars): r.fingerprint for r in lz.fingerprints(df).collect()}
     assert plain == {(r.doc_id, r.n_chars): r.fingerprint for r in rows}
+
+
+def test_one_id_on_a_third_of_the_rows_is_dealt_over_many_stretches(spark):
+    rows = [(i if i % 3 else None, f"{i} text of {i % 7} " * (1 + i % 4)) for i in range(240)] + [(7, f"{i} is of seven, too") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.xxhash64("text").alias("h"))
+    laid = lz.in_order(df, 2000).where("not ahead").groupBy("doc_id").agg(F.count_distinct("stretch").alias("n")).where("doc_id is null or doc_id = 7")
+    assert all(r.n > 3 for r in laid.collect())
+    ordered = sorted(df.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
+    check(lz.edits(df, characters=2000).collect(), [(r.doc_id, r.text) for r in ordered])
