@@ -17,7 +17,7 @@ from tarnwork.sources.text import labelled_lines, parse_labelled
 from tarnwork.streaming import sketches
 from tarnwork.streaming.inputs import event_time, parquet_stream, queued
 from tarnwork.streaming.keyed import EveryBatch, State, keyed_table
-from tarnwork.streaming.outer import END, is_ending, outer_join_table
+from tarnwork.streaming.outer import END, apart, is_ending, outer_join_table
 from tarnwork.streaming.panes import least, rows, sliding_table, total
 from tarnwork.streaming.sinks import append_table, batch_table, run, upsert_table
 from tarnwork.streaming.state import running_maximum, update_state_by_key
@@ -342,10 +342,10 @@ def _join(t):
 def _outer(t, how):
     def side(stream, kind, name):
         kept = stream.where((c("event_type") == kind) | is_ending("ts"))
-        return kept.select(F.window("ts", "1 day").alias("w"), "user_id", c("event_id").alias(name))
+        return kept.select(F.window("ts", "1 day").alias("w"), "user_id", apart("user_id", kind).alias("apart"), c("event_id").alias(name))
 
     def join(left, right):
-        return side(left, "view", "view_id").join(side(right, "purchase", "buy_id"), ["w", "user_id"], how).select(window_start("w"), "user_id", "view_id", "buy_id")
+        return side(left, "view", "view_id").join(side(right, "purchase", "buy_id"), ["w", "user_id", "apart"], how).select(window_start("w"), "user_id", "view_id", "buy_id")
 
     return outer_join_table(_timed(t), _timed(t), join, c("start") >= F.unix_timestamp(F.lit(END)))
 

@@ -22,6 +22,14 @@ def is_ending(column: str = "ts") -> Column:
     return F.col(column) >= F.lit(END)
 
 
+def apart(key: str, side: str) -> Column:
+    """A further key that keeps null keys of two sides from meeting.
+
+    The state of a full outer join of streams takes two nulls for equal.
+    """
+    return F.when(F.col(key).isNull(), side).otherwise("")
+
+
 class Ending:
     """Adds a last row to streams: END as event time, and no nulls, which the planner would filter out of keys."""
 

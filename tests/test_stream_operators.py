@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tarnwork.session import fresh_dir
 from tarnwork.streaming.inputs import event_time, parquet_stream, queued
 from tarnwork.streaming.keyed import EveryBatch, KeyHandler, keyed_table
-from tarnwork.streaming.outer import END, is_ending, outer_join_table
+from tarnwork.streaming.outer import END, apart, is_ending, outer_join_table
 from tarnwork.streaming.panes import added, least, pane_stream, rows, sliding_table, slid, total
 from tarnwork.streaming.windows import window_start
 
@@ -117,12 +117,14 @@ def test_outer_stream_joins_down_to_the_last_row(spark, how):
     right = timed(spark, [("2024-01-01 01:00:00", 1, 20), ("2024-01-01 02:00:00", 1, 21), ("2024-01-05 00:00:00", 9, 22), ("2024-01-05 01:00:00", None, 23)], "k long, b long")
 
     def join(x, y):
-        x, y = (s.select(F.window("ts", "1 day").alias("w"), "k", name) for s, name in ((x, "a"), (y, "b")))
-        return x.join(y, ["w", "k"], how).select(window_start("w"), "k", "a", "b")
+        x, y = (s.select(F.window("ts", "1 day").alias("w"), "k", apart("k", name).alias("apart"), name) for s, name in ((x, "a"), (y, "b")))
+        return x.join(y, ["w", "k", "apart"], how).select(window_start("w"), "k", "a", "b")
 
     streams = [queued([df.where(f"day(ts) {cond}") for cond in ("= 5", "= 2", "= 1")]) for df in (left, right)]
     got = outer_join_table(*streams, join, F.col("start") >= F.unix_timestamp(F.lit(END)))
-    assert sorted(map(str, got.collect())) == sorted(map(str, join(left, right).collect()))
+    day = lambda s, name: s.select(F.window("ts", "1 day").alias("w"), "k", name)
+    want = day(left, "a").join(day(right, "b"), ["w", "k"], how).select(window_start("w"), "k", "a", "b")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_late_rows_of_a_join_are_dropped_only_with_a_delay(spark):
