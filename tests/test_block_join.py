@@ -39,3 +39,31 @@ def test_no_side_is_broadcast_and_cells_are_partitions(spark):
         block_join(left, left, lambda a, b: a("a") > b("a"))
     with pytest.raises(ValueError):
         block_join(left, right, lambda a, b: a("a") > b("b"), "semi")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_lanes_leave_out_no_pair(spark, how):
+    prices = [None, 0.0, -5.0, 1.0, 9.99, 10.0, 10.0, 10.01, 99.9, 100.0, 1e300, float("inf"), float("nan"), 1.79e308]
+    left = spark.createDataFrame([(i, p) for i, p in enumerate(prices * 2)], "a long, v double")
+    right = spark.createDataFrame([(i, p) for i, p in enumerate([*prices, 55.0, 10.0])], "b long, w double")
+    on = lambda a, b: (a("v") > b("w") * 0.99) & (a("v") < b("w") * 1.01) & (a("a") % 3 != b("b") % 3)
+    most, w = 1.7976931348623157e308, F.col("w")
+    lane = lambda x: F.floor(F.ln(F.when(x <= most, x)) / 0.03)
+    got = block_join(left, right, on, how, lanes=(lane(F.col("v")), lane(w * 0.99), lane(F.least(w * 1.01, F.lit(most)))))
+    want = left.join(right, on(F.col, F.col), how)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_near_prices_meet_by_lanes_not_all_by_all(spark, tmp_path):
+    from tarnwork.catalog import registered
+
+    ids = spark.range(500)
+    ids.selectExpr("id AS l_orderkey", "1 AS l_linenumber", "pow(1.0002D, id) AS l_extendedprice", "timestamp'2024-01-01' AS l_shipdate", "-1L AS l_suppkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    ids.selectExpr("id AS o_orderkey", "pow(1.0002D, id) AS o_totalprice", "timestamp'2024-01-02' AS o_orderdate", "id AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    for how in ("inner", "full"):
+        got = registered()[f"join11_blocks_{how}"](spark, str(tmp_path))
+        assert sorted(map(tuple, got.collect())) == [(i, 1, i) for i in range(500)]
+        assert "_lane" in got._jdf.queryExecution().analyzed().toString()
