@@ -90,12 +90,16 @@ def _near(exact, estimate, rsd):
     return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), 4 * rsd * exact)
 
 
+def _distinct_near(df, key, value, rsd):
+    """Exact distinct counts and their estimates by key, each by itself: together, every distinct row would keep a sketch."""
+    exact = df.groupBy(key).agg(F.count_distinct(value).alias("exact"))
+    estimate = df.groupBy(c(key).alias("_key")).agg(F.approx_count_distinct(value, rsd).alias("e"))
+    return exact.join(estimate, c(key).eqNullSafe(c("_key"))).select(key, "exact", _near(c("exact"), c("e"), rsd).alias("near"))
+
+
 @query("agg14_approx_count_distinct", "SELECT l_returnflag, count(DISTINCT l_orderkey) AS exact, true AS near FROM lineitem GROUP BY 1")
 def _(t):
-    exact, estimate = F.count_distinct("l_orderkey"), F.approx_count_distinct("l_orderkey", 0.05)
-    return t.lineitem.groupBy("l_returnflag").agg(exact.alias("exact"), estimate.alias("e")).select(
-        "l_returnflag", "exact", _near(c("exact"), c("e"), 0.05).alias("near")
-    )
+    return _distinct_near(t.lineitem, "l_returnflag", "l_orderkey", 0.05)
 
 
 @query("agg15_query_count", "SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F'")
@@ -274,9 +278,7 @@ def _(t):
 
 @query("agg35_approx_distinct_by_key", "SELECT l_suppkey AS k, count(DISTINCT l_partkey) AS exact, true AS near FROM lineitem GROUP BY 1")
 def _(t):
-    return t.lineitem.groupBy(c("l_suppkey").alias("k")).agg(
-        F.count_distinct("l_partkey").alias("exact"), F.approx_count_distinct("l_partkey", 0.05).alias("e")
-    ).select("k", "exact", _near(c("exact"), c("e"), 0.05).alias("near"))
+    return _distinct_near(t.lineitem.select(c("l_suppkey").alias("k"), "l_partkey"), "k", "l_partkey", 0.05)
 
 
 @query("agg36_group_by_key", _list_oracle("orders", "o_orderpriority", "o_orderkey", "o_orderdate, o_orderkey", 1000))
