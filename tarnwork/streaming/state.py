@@ -39,7 +39,7 @@ def update_state_by_key(
         if old is None:
             known = fresh.select("*", *[F.lit(None).alias(f"old_{n}") for n in next_state])
         else:
-            known = full_outer(fresh, old.select(key, *[F.col(n).alias(f"old_{n}") for n in next_state]), [key])
+            known = full_outer(fresh, old.select(key, *[F.col(n).alias(f"old_{n}") for n in next_state]), [key], most_pairs=None)
         state = known.select(key, *[e.alias(n) for n, e in next_state.items()])
         return state.where(keep) if keep is not None else state
 

@@ -126,3 +126,37 @@ def test_null_rows_are_empty_lines_to_a_command(spark):
 
     df = spark.createDataFrame([("a",), (None,), ("",)], "line string").coalesce(1)
     assert sorted(r.line for r in pipe(df, "line", ["sed", "s/^$/none/"]).collect()) == ["a", "none", "none"]
+
+
+@pytest.mark.parametrize("name", ["agg25_count_approx_distinct_rows", "agg14_approx_count_distinct", "agg35_approx_distinct_by_key"])
+def test_no_sketch_for_every_distinct_row(spark, tmp_path, name):
+    """Planned in one aggregate, an exact distinct count makes the estimate keep a sketch for each distinct row."""
+    from tarnwork.catalog import registered
+
+    flags = ["A", None, "B"]
+    spark.createDataFrame([(i % 7, "ab"[i % 2]) for i in range(90)], "user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(flags[i % 3], i % 10, i % 4 or None, i % 6) for i in range(90)], "l_returnflag string, l_orderkey long, l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = registered()[name](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().analyzed().toString().lower()
+    assert not [x for x in plan.split("\n") if "count(distinct" in x and "approx_count_distinct" in x]
+    want = {
+        "agg25_count_approx_distinct_rows": [(14, True)],
+        "agg14_approx_count_distinct": [("A", 10, True), ("B", 10, True), (None, 10, True)],
+        "agg35_approx_distinct_by_key": [(1, 3, True), (2, 3, True), (3, 3, True), (None, 3, True)],
+    }[name]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_full_outer_cuts_keys_of_many_pairs(spark):
+    left = spark.createDataFrame([(None if i % 9 == 0 else i % 4, i) for i in range(400)] + [(7, -1), (7, -1)], "k long, l long")
+    right = spark.createDataFrame([(None if i % 5 == 0 else i % 3 + 1, i) for i in range(60)] + [(8, -2), (8, -2)], "k long, r long")
+    joined = full_outer(left, right, ["k"], most_pairs=100)
+    want = left.join(right, "k", "full")
+    assert sorted(map(str, joined.select("k", "l", "r").collect())) == sorted(map(str, want.collect()))
+    per_task = joined.where("l is not null and r is not null").groupBy(F.spark_partition_id()).count().agg(F.max("count")).head()[0]
+    assert per_task < 1500  # a key has up to 1,600 pairs, and there are three
+    # One side with a single row is not cut beyond the other.
+    assert full_outer(left.limit(0), right, ["k"], 10).count() == 62
+    single = full_outer(left.where("l = 1"), right, ["k"], 5)
+    assert sorted(map(str, single.select("k", "l", "r").collect())) == sorted(map(str, left.where("l = 1").join(right, "k", "full").collect()))
+
