@@ -196,3 +196,13 @@ def test_named_page_rank_of_pages_that_link_in_a_circle(spark):
     got = {r.name: r["rank"] for r in named_page_rank(spark.createDataFrame(links, "a string, b string"), 6).collect()}
     want = serial_rank(["a", "b", "c", "x", "y"], sorted(set(links)), 6)
     assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_components_of_many_vertices_do_not_go_by_the_driver(spark):
+    from tarnwork.graph.algorithms import connected_components
+    from tarnwork.graph.model import Graph
+
+    ids = spark.range(1, 41)
+    found = connected_components(Graph(ids, ids.where("id % 10 <> 0").selectExpr("id AS src", "id + 1 AS dst")))
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(i, (i - 1) // 10 * 10 + 1) for i in range(1, 41)]
