@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.session import materialize, spread
+from tarnwork.session import materialize
 
 c = F.col
 
 
 def term_counts(df: DataFrame, doc: str, terms: Column) -> DataFrame:
-    """One row per document and term: no vector as wide as the vocabulary, no hash collisions."""
-    return spread(df).select(doc, F.explode(terms).alias("term")).where("term <> ''").groupBy(doc, "term").agg(F.count("*").alias("tf"))
+    """One row per document and term: no vector as wide as the vocabulary, no hash collisions.
+
+    Texts are dealt by document before they are cut up: a document's terms are
+    then together, and the many rows of them are never shuffled.  The number of
+    partitions is fixed, as texts are small beside what is counted of them.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, doc).select(doc, F.explode(terms).alias("term")).where("term <> ''").groupBy(doc, "term").agg(F.count("*").alias("tf"))
 
 
 def hashed(counts: DataFrame, doc: str, buckets: int = 1 << 20) -> DataFrame:
