@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from tarnwork.session import materialize
 
 USERS, ITEMS = 2048, 4096  # vectors of a block
+USER_BLOCKS, MOST_USERS = 128, 1 << 16  # blocks of users after which they become longer, up to this length
+SLICE = 256  # users multiplied with a block of items at once
 _BLOCK = "ids binary, vectors binary, norm double"
 
 
 def _blocks(df: DataFrame, rows: int, by_norm: bool, label: str) -> DataFrame:
     """Vectors in blocks of at most ``rows``: (ids, vectors, norm = the largest of the block), by falling norm if asked for."""
     size = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    kept = df.select(F.col("id").cast("long"), F.col("features").cast("array<double>").alias("features"), size.alias("norm"))
+    plain, number = ("float", "<f4") if df.schema["features"].dataType.simpleString() == "array<float>" else ("double", "<f8")
+    kept = df.select(F.col("id").cast("long"), F.col("features").cast(f"array<{plain}>").alias("features"), size.alias("norm"))
     if by_norm:
         kept = kept.repartitionByRange(F.desc("norm")).sortWithinPartitions(F.desc("norm"), "id")  # blocks of like norms
     schema = pa.schema([("ids", pa.binary()), ("vectors", pa.binary()), ("norm", pa.float64())])
@@ -28,7 +31,7 @@ def _blocks(df: DataFrame, rows: int, by_norm: bool, label: str) -> DataFrame:
 
         def told(some: pa.RecordBatch) -> pa.RecordBatch:
             flat = some.column(1).flatten().to_numpy()
-            columns = [[some.column(0).to_numpy().astype("<i8").tobytes()], [flat.astype("<f8").tobytes()], [float(np.max(some.column(2).to_numpy()))]]
+            columns = [[some.column(0).to_numpy().astype("<i8").tobytes()], [flat.astype(number).tobytes()], [float(np.max(some.column(2).to_numpy()))]]
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
@@ -56,7 +59,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def largest_products(users: DataFrame, items: DataFrame, n: int, user_rows: int = USERS, item_rows: int = ITEMS, places: int = 9) -> DataFrame:
+def largest_products(users: DataFrame, items: DataFrame, n: int, user_rows: int | None = None, item_rows: int = ITEMS, places: int = 9) -> DataFrame:
     """(user, place, item, score): the ``n`` items of largest inner product of every user, largest first, ties by id.
 
     Both sides are (id, features) of one length.  Items are cut into blocks
@@ -64,10 +67,15 @@ def largest_products(users: DataFrame, items: DataFrame, n: int, user_rows: int
     the blocks of items and keeps n a user.  No product exceeds the product of the
     norms, so once that of a block is under the n-th score of all the block's
     users, the rest is not multiplied.  One block of each side is held at a
-    time, and items are sent once for each block of users.  Null vectors are
-    left out; no users or no items give no rows.
+    time, and items are sent once for each block of users.  So that this grows
+    with the items and not with both sides, blocks get longer with more users,
+    unless ``user_rows`` is given.  Floats are sent as floats and multiplied in
+    double precision.  Null vectors are left out; no users or no items give no rows.
     """
     there = F.col("features").isNotNull() & F.col("id").isNotNull()
+    if user_rows is None:
+        user_rows = min(max(USERS, -(-users.count() // USER_BLOCKS)), MOST_USERS)
+    own_number, item_number = ("<f4" if x.schema["features"].dataType.simpleString() == "array<float>" else "<f8" for x in (users, items))
     of_users = _blocks(users.where(there), user_rows, False, "user-blocks").withColumn("block", F.monotonically_increasing_id())
     of_items = _blocks(items.where(there), item_rows, True, "item-blocks")
     numbers = of_users.select("block")
@@ -84,23 +92,28 @@ def largest_products(users: DataFrame, items: DataFrame, n: int, user_rows: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = None
         for batch in batches:
-            for side, raw_ids, raw, norm in zip(*[batch.column(i).to_pylist() for i in range(1, 5)]):
-                these = np.frombuffer(raw_ids, "<i8")
-                vectors = np.frombuffer(raw, "<f8").reshape(len(these), -1)
+            for at in range(batch.num_rows):
+                side, raw_ids, raw, norm = (batch.column(i)[at] for i in range(1, 5))
+                side, norm = side.as_py(), norm.as_py()
+                these = np.frombuffer(raw_ids.as_buffer(), "<i8")
+                vectors = np.frombuffer(raw.as_buffer(), item_number if side else own_number).astype("<f8").reshape(len(these), -1)
                 if side == 0:
                     if ids is not None:
                         yield told(ids, scores, found)
-                    ids, own, sizes, done = these, vectors, np.sqrt((vectors * vectors).sum(axis=1)), False
+                    ids, own, sizes, done = these.copy(), vectors, np.sqrt((vectors * vectors).sum(axis=1)), False
                     scores, found = np.full((len(ids), n), -np.inf), np.full((len(ids), n), -1)
                     continue
                 # A little above the product of norms, as scores are rounded.
                 done = done or bool((sizes * norm * (1 + 1e-9) + 10.0**-places < scores[:, -1]).all())
                 if done:
                     continue
-                every = np.concatenate([scores, np.round(own @ vectors.T, places)], axis=1)
-                names = np.concatenate([found, np.broadcast_to(these, (len(ids), len(these)))], axis=1)
-                best = _best(every, names, n)
-                scores, found = (np.where(best >= 0, np.take_along_axis(x, np.maximum(best, 0), 1), fill) for x, fill in ((every, -np.inf), (names, -1)))
+                for first in range(0, len(ids), SLICE):
+                    some = slice(first, first + SLICE)
+                    every = np.concatenate([scores[some], np.round(own[some] @ vectors.T, places)], axis=1)
+                    names = np.concatenate([found[some], np.broadcast_to(these, (len(every), len(these)))], axis=1)
+                    best = _best(every, names, n)
+                    for x, of, fill in ((every, scores, -np.inf), (names, found, -1)):
+                        of[some] = np.where(best >= 0, np.take_along_axis(x, np.maximum(best, 0), 1), fill)
         if ids is not None:
             yield told(ids, scores, found)
 
