@@ -11,8 +11,12 @@ c = F.col
 
 
 def words(df: DataFrame, key: str, label: str, text: str) -> DataFrame:
-    """(key, label, word, n): how often each word of white-space parted text occurs in a row."""
-    each = df.select(key, label, F.explode(F.split(text, r"\s+")).alias("word")).where("word <> ''")
+    """(key, label, word, n): how often each word of white-space parted text occurs in a row.
+
+    Texts are dealt by key before they are cut up, so that words are counted where they are.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, as texts are small beside their words
+    each = df.repartition(parts, key).select(key, label, F.explode(F.split(text, r"\s+")).alias("word")).where("word <> ''")
     return each.groupBy(key, label, "word").agg(F.count("*").alias("n"))
 
 

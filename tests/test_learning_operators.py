@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarnwork.ml import lbfgs, naive_bayes
 from tarnwork.ml.gradient import descend
@@ -101,3 +102,33 @@ def test_naive_bayes_with_missing_labels_and_texts(spark):
 
     assert {r.id: r.label for r in naive_bayes.predict(df, "id", "text", (classes, weights)).collect()} == {i: best(t) for i, _, t in rows}
     assert naive_bayes.fit(df.limit(0), "label", "text")[1].collect() == []
+
+
+def test_words_are_counted_without_shuffling_them(spark):
+    from tarnwork.ml.text_features import term_counts
+
+    texts = spark.createDataFrame([(1, "a b a"), (1, "a c"), (None, "a a"), (2, None), (3, "")], "id long, text string")
+    got = term_counts(texts, "id", F.split("text", " "))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "a", 3), (1, "b", 1), (1, "c", 1), (None, "a", 2)], key=str)
+    counted = naive_bayes.words(texts.withColumn("label", F.lit("x")), "id", "label", "text")
+    assert sorted(map(tuple, counted.collect()), key=str) == sorted([(1, "x", "a", 3), (1, "x", "b", 1), (1, "x", "c", 1), (None, "x", "a", 2)], key=str)
+    for df in (got, counted):
+        assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_items_are_sent_as_floats_and_users_in_a_bounded_number_of_blocks(spark, monkeypatch):
+    from tarnwork.ml import inner_products as ip
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 6)).astype(np.float32)
+    frame = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, features array<float>").coalesce(1)
+    made = {}
+    blocks = ip._blocks
+    monkeypatch.setattr(ip, "_blocks", lambda *a: made.setdefault(a[-1], blocks(*a)))
+    monkeypatch.setattr(ip, "USERS", 10)
+    monkeypatch.setattr(ip, "USER_BLOCKS", 2)
+    got = {(r.user, r.place): r.item for r in ip.largest_products(frame, frame, 3, item_rows=90).collect()}
+    assert made["user-blocks"].count() == 2
+    assert made["item-blocks"].selectExpr("sum(length(vectors)) AS n").head()[0] == 700 * 6 * 4
+    scores = np.round(x.astype(float) @ x.astype(float).T, 9)
+    assert got == {(i, k + 1): int(j) for i in range(700) for k, j in enumerate(np.lexsort((np.arange(700), -scores[i]))[:3])}
