@@ -1,13 +1,14 @@
 """Graph loops against small serial versions."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tarnwork.graph import algorithms as alg
-from tarnwork.graph.model import Graph, StoredEdges, endpoints
+from tarnwork.graph.model import CellEdges, Graph, StoredEdges, endpoints, joined_in_cells
 from tarnwork.graph.pregel import pregel
 
 
@@ -206,3 +207,51 @@ def test_components_of_many_vertices_do_not_go_by_the_driver(spark):
     found = connected_components(Graph(ids, ids.where("id % 10 <> 0").selectExpr("id AS src", "id + 1 AS dst")))
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, found.collect())) == [(i, (i - 1) // 10 * 10 + 1) for i in range(1, 41)]
+
+
+def test_svd_plus_plus_leaves_ratings_in_their_cells(spark, monkeypatch):
+    plans = []
+
+    def noted(df, label, *rest):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, label, *rest)
+
+    written = alg.materialize
+    monkeypatch.setattr(alg, "materialize", noted)
+    ratings = spark.range(400).selectExpr("id % 7 AS src", "-1 - id % 40 AS dst", "id % 5 + 0.5D AS attr").distinct()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state, _ = alg.svd_plus_plus(ratings, 2, 1, 0.0, 5.0)
+        assert state.where("squared_error IS NOT NULL").count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    rounds = [plan for label, plan in plans if label in ("svd-phase", "svd")][-2:]
+    shuffled = r"Exchange hashpartitioning\([^)]*(src|dst)#[^\n]*\n[^\n]*(Project|Filter|ColumnarToRow|FileScan)"  # rows, not sums of a cell
+    assert all("Join" in plan and not re.search(shuffled, plan) for plan in rounds)
+
+
+def test_cells_of_a_hub_and_of_edges_without_an_end(spark):
+    pairs = [(i, 0) for i in range(30)] + [(i, 1 + i % 3) for i in range(30)] + [(None, 0), (5, None)]
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    degree = edges.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("n"))
+    state = spark.range(30).selectExpr("id", "id * 10 AS x")
+    for by in ("dst", "src"):
+        cells = CellEdges.write(edges, degree, by, hub_limit=8)
+        with joined_in_cells(spark):
+            got = sorted((r.src, r.dst, r.src_x, r.dst_x) for r in cells.triplets({"dst": state, "src": state}).collect())
+        assert got == sorted((s, d, 10 * s, 10 * d) for s, d in pairs if s is not None and d is not None)
+        assert cells.edges.where(F.col(by) == 0).select("cell").distinct().count() > (by == "dst")
+
+
+def test_cells_do_not_follow_the_partitions_beyond_their_bound(spark):
+    edges = spark.range(3000).selectExpr("id % 10 AS src", "id AS dst")
+    degree = edges.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("n"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        cells = CellEdges.write(edges, degree, most=20)
+        assert cells.edges.agg(F.max("cell")).head()[0] < 20
+        assert cells.routes["src"].count() <= 200 and cells.routes["dst"].count() == 3000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
