@@ -5,8 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml import feature
 from pyspark.sql import functions as F
 
+from tarnwork.catalog import registered
 from tarnwork.ml import lbfgs, naive_bayes
 from tarnwork.ml.gradient import descend
 from tarnwork.ml.inner_products import largest_products
@@ -132,3 +134,16 @@ def test_items_are_sent_as_floats_and_users_in_a_bounded_number_of_blocks(spark,
     assert made["item-blocks"].selectExpr("sum(length(vectors)) AS n").head()[0] == 700 * 6 * 4
     scores = np.round(x.astype(float) @ x.astype(float).T, 9)
     assert got == {(i, k + 1): int(j) for i in range(700) for k, j in enumerate(np.lexsort((np.arange(700), -scores[i]))[:3])}
+
+
+def test_word_vectors_read_sentences_that_are_cut_once(spark, monkeypatch, tmp_path):
+    """The model gets written sentences of two words or more: its plan cuts nothing, neither for a row nor for a condition."""
+    texts = ["Ab cd, ef!\ngh\n\nij kl mn", None, "", "one", "ÉT là–ab 2 cd"] + ["ab cd ef gh ij kl mn"] * 20
+    spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    read, fit = [], feature.Word2Vec.fit
+    monkeypatch.setattr(feature.Word2Vec, "fit", lambda self, df: read.append(df) or fit(self, df))
+    row = registered()["ml11_word2vec"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in row] == [(8, True, 5)]
+    assert "split(" not in read[0]._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r.words) for r in read[0].collect()) == sorted(
+        [("ab", "cd", "ef"), ("ij", "kl", "mn"), ("ét", "là", "ab", "cd")] + [tuple("ab cd ef gh ij kl mn".split())] * 20)
